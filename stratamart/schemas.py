@@ -20,12 +20,12 @@ class Table:
 
     @property
     def schema(self) -> StructType:
-        """Data columns, without the partition column."""
+        """Data columns, without the partition column (needs a running session)."""
         return StructType.fromDDL(self.ddl)
 
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return [column.split()[0] for column in self.ddl.split(", ")]
 
     @property
     def stored_schema(self) -> StructType:

@@ -54,7 +54,6 @@ class StarAdapter:
         nation = self.raw("nation").select("n_nationkey", "n_name")
         return (
             self.raw("supplier")
-            .where("s_suppkey < 10")
             .join(nation, F.expr("s_nationkey = n_nationkey"))
             .select(
                 F.col("s_suppkey").alias("shop_id"),
@@ -151,7 +150,8 @@ class StarAdapter:
                 + F.expr("cast(if(order_id % 50 = 7, 1, 0) as decimal(3,2))")
             ).alias("order_amount"),
             "create_time",
-            _plus_seconds("create_time", "60 + order_id % 60").alias("update_time"),
+            # Up to a day later, so the last change may fall on the next day.
+            _plus_seconds("create_time", "order_id % 26 * 3600").alias("update_time"),
         )
 
     def _payment_rows(self, with_history: bool) -> DataFrame:
@@ -232,7 +232,7 @@ class StarAdapter:
             "else element_at(array(1,2,3,3,4,4,4,5,5,5), "
             "cast(1 + (order_id div 30 + user_id) % 10 as int)) end"
         )
-        return self._order_head.where("order_id % 3 = 0").select(
+        return self._order_head.select(
             F.col("order_id").alias("rating_id"),
             "order_id",
             "shop_id",
@@ -302,13 +302,23 @@ class StarAdapter:
     @cached_property
     def audit_sku(self) -> DataFrame:
         return self.sku_info.withColumn(
-            "shop_id", F.expr("if(sku_id % 229 = 0, 99, shop_id)")
+            "shop_id", F.expr("if(sku_id % 229 = 0, -99, shop_id)")
         )
 
     @cached_property
     def audit_order(self) -> DataFrame:
-        return self.order_info.withColumn(
-            "shop_id", F.expr("if(order_id % 227 = 0, 99, shop_id)")
+        """Unknown shops and statuses, a negative amount, a change before creation."""
+        return self.order_info.withColumns(
+            {
+                "shop_id": F.expr("if(order_id % 227 = 0, -99, shop_id)"),
+                "order_status": F.expr("if(order_id % 241 = 0, 'LOST', order_status)"),
+                "order_amount": F.expr(
+                    "if(order_id % 251 = 1, cast(-1 as decimal(20,2)), order_amount)"
+                ),
+                "update_time": F.expr(
+                    "if(order_id % 257 = 2, create_time - interval 1 second, update_time)"
+                ),
+            }
         )
 
     @cached_property
@@ -338,13 +348,11 @@ class StarAdapter:
 
     @cached_property
     def unpaid_orders(self) -> DataFrame:
-        """Orders without payment; every 250th key is a burst of six, 8 s apart."""
+        """Orders without payment; some stand for a burst of six, 8 s apart."""
+        burst = "sequence(0, if(order_id % 25 = 3, 5, 0))"
         return (
-            self._order_head.where("order_status <> 'PAID' or order_id % 250 = 3")
-            .withColumn(
-                "_n",
-                F.explode(F.expr("sequence(0, if(order_id % 250 = 3, 5, 0))")),
-            )
+            self._order_head.where("order_status <> 'PAID'")
+            .withColumn("_n", F.explode(F.expr(burst)))
             .select(
                 F.expr("order_id * 10 + _n").alias("order_id"),
                 "user_id",
@@ -354,18 +362,14 @@ class StarAdapter:
 
     @cached_property
     def failed_payments(self) -> DataFrame:
-        """Failed attempts; every 300th order has three, 50 s apart."""
+        """Failed attempts; some stand for three, 50 s apart."""
+        burst = "sequence(0, if(order_id % 200 = 0, 2, 0))"
         return (
-            self._order_head.where("order_id % 8 = 0 or order_id % 300 = 5")
-            .withColumn(
-                "_n",
-                F.explode(F.expr("sequence(0, if(order_id % 300 = 5, 2, 0))")),
-            )
+            self.payment_info.where("payment_status = 'FAILED'")
+            .withColumn("_n", F.explode(F.expr(burst)))
             .select(
-                F.expr("order_id * 10 + _n").alias("payment_id"),
+                F.expr("payment_id * 10 + _n").alias("payment_id"),
                 "user_id",
-                _plus_seconds("create_time", "1 + order_id % 600 + _n * 50").alias(
-                    "payment_time"
-                ),
+                _plus_seconds("payment_time", "_n * 50").alias("payment_time"),
             )
         )
