@@ -1,13 +1,23 @@
-"""Join of many rows to one row per key, when a few keys may hold most rows."""
+"""Joins planned for co-located and for skewed keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
 
 
+def same(left: Column, right: Column) -> Column:
+    """Equality that stays a residual of a join instead of becoming a join key.
+
+    Spark adds every ``a = b`` between the two sides to the join keys, and then
+    shuffles both sides again by the longer key list although they are already
+    hashed by the shared id. As a range test the condition is only evaluated.
+    """
+    return left.between(right, right)
+
+
 def hot_keys(
     counts: DataFrame, key: str, count: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:

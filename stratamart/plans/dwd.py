@@ -13,7 +13,7 @@ from ..functions.metrics import score_level
 from ..functions.money import money
 from ..functions.temporal import day_of, on_or_before
 from ..operators.dedup import latest_by, only_member
-from ..operators.skew import ROWS_PER_TASK, hot_keys, salted_join
+from ..operators.skew import ROWS_PER_TASK, hot_keys, salted_join, same
 from ..schemas import columns_of
 from .contracts import EVENT_TYPES
 
@@ -148,18 +148,19 @@ def valid_orders(
     All three inputs arrive hashed by order_id from their own dedup or
     aggregate, so these joins add no shuffle.
     """
-    paid = single_success(payments, ds)
+    paid = single_success(payments, ds).withColumnRenamed("user_id", "payer_id")
     order = latest_orders(orders, ds).select(
         "order_id", "user_id", "shop_id", "order_status", "order_amount", "create_time"
     )
     return (
-        order.join(paid, ["order_id", "user_id"])
+        order.where(F.col("order_status") == "PAID")
+        .join(paid, "order_id")
         .join(detail_amounts(details, ds), "order_id")
         .where(
-            (F.col("order_status") == "PAID")
+            same(F.col("payer_id"), F.col("user_id"))
             & (F.col("payment_time") >= F.col("create_time"))
-            & (F.col("detail_final_amount") == F.col("order_amount"))
-            & (F.col("payment_amount") == F.col("order_amount"))
+            & same(F.col("detail_final_amount"), F.col("order_amount"))
+            & same(F.col("payment_amount"), F.col("order_amount"))
         )
         .select("order_id", "user_id", "shop_id", "order_amount", "create_time",
                 "payment_id", "payment_amount", "payment_time", "line_count")
@@ -255,21 +256,21 @@ def behavior(events: DataFrame, skus: DataFrame, ds: str) -> DataFrame:
 def paid_shops(trade_lines: DataFrame) -> DataFrame:
     """One row per valid paid order: its shop.
 
-    The distinct keeps the wide pass a hash aggregate (a max over text would
-    sort it); the second step runs on one row per order.
+    All lines of a valid order carry its one shop, so the distinct leaves one
+    row per order; it runs as a hash aggregate, where a max over the name
+    would sort every line. Should a snapshot name one shop in two ways, the
+    rating contract (unique order_id) refuses the result.
     """
-    return (
-        trade_lines.select("order_id", "shop_id", "shop_name").distinct()
-        .groupBy("order_id")
-        .agg(F.max("shop_id").alias("shop_id"), F.max("shop_name").alias("shop_name"))
-    )
+    return trade_lines.select("order_id", "shop_id", "shop_name").distinct()
 
 
 def rating(ratings: DataFrame, trade_lines: DataFrame, ds: str) -> DataFrame:
     """Newest valid rating of each order that has valid trade in the same shop."""
+    paid = paid_shops(trade_lines).withColumnRenamed("shop_id", "paid_shop_id")
     return (
         latest_ratings(ratings, ds)
-        .join(paid_shops(trade_lines), ["order_id", "shop_id"])
+        .join(paid, "order_id")
+        .where(same(F.col("shop_id"), F.col("paid_shop_id")))
         .withColumn("score_level", score_level(F.col("shop_score")))
         .withColumn("rating_date", day_of(F.col("rating_time")))
         .select(*columns_of("cdm.dwd_shop_rating_df"))

@@ -126,15 +126,17 @@ def site_stats(
 # ---- SKU -------------------------------------------------------------------
 
 def sku_attributes(detail: DataFrame, ds: str, day: str) -> DataFrame:
-    """Names and owner of each SKU seen up to ``ds``.
+    """Names and owner of each SKU seen up to ``ds``, one row per SKU.
 
     Taken apart from the metrics: it scans a few dictionary-coded columns and
     shuffles one row per SKU and task, while the metric shuffles stay numeric.
+    A snapshot is built from one frozen dimension, so a SKU has one set of
+    attributes; a second set would give repeated keys, which the contract of
+    the aggregate refuses. The distinct is a hash aggregate, a max over names
+    would sort all rows.
     """
-    seen = detail.where(Periods(ds).known(F.col(day))).select("sku_id", *SKU_ATTRIBUTES)
-    return seen.distinct().groupBy("sku_id").agg(
-        *[F.max(c).alias(c) for c in SKU_ATTRIBUTES]
-    )
+    seen = detail.where(Periods(ds).known(F.col(day)))
+    return seen.select("sku_id", *SKU_ATTRIBUTES).distinct()
 
 
 def sku_traffic(behavior: DataFrame, ds: str) -> DataFrame:

@@ -18,6 +18,8 @@ PROFILE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even if the aggregate above it then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.broadcastTimeout": "300",
