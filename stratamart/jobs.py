@@ -15,7 +15,7 @@ from .errors import DataQualityError
 from .plans import ads, contracts, dim, dwd, dws
 from .plans.ods import INGESTS, one_day
 from .sinks.results import JdbcResultStore, ResultStore, publish
-from .sinks.tables import write_partition, write_whole
+from .sinks.tables import replace_day, write_partition, write_whole
 from .sources import jdbc
 from .sources.tables import create_all, read_history, read_partition, require_partition
 
@@ -41,16 +41,20 @@ def require_no_facts(facts: dict[str, DataFrame]) -> None:
 
 
 def load_day(spark: SparkSession, read: SourceReader, ds: str) -> dict[str, int]:
-    """Replace one day of all five increments and reconcile the row counts."""
-    rows = {}
-    for ingest in INGESTS:
-        day = one_day(read(ingest.source), ingest, ds)
-        staged = write_partition(day, ingest.target, ds, None)
-        stored = read_partition(spark, ingest.target, ds).count()
-        if staged != stored:
-            raise DataQualityError(f"{ingest.target} ds={ds}: read {staged}, stored {stored}")
-        rows[ingest.target] = stored
-    return rows
+    """Replace one day of all five increments and reconcile the row counts.
+
+    The source is read once, into staging; what was read is compared with what
+    the table holds afterwards. A second count in a live database could differ
+    from the first without anything being wrong.
+    """
+    read_rows = replace_day(
+        {i.target: one_day(read(i.source), i, ds) for i in INGESTS}, ds
+    )
+    for table, rows in read_rows.items():
+        stored = read_partition(spark, table, ds).count()
+        if rows != stored:
+            raise DataQualityError(f"{table} ds={ds}: read {rows}, stored {stored}")
+    return read_rows
 
 
 # ---- snapshots, aggregates, results ----------------------------------------

@@ -12,6 +12,7 @@ from ..errors import DataQualityError
 from ..operators.quality import require
 from ..plans.contracts import PUBLISH, PUBLISHED_COLUMNS, RANKED_ONCE
 from ..sources.jdbc import Endpoint
+from ..storage import delete_folder
 
 
 class ResultStore(Protocol):
@@ -90,9 +91,7 @@ class FolderResultStore:
         return f"{self.root}/{table}"
 
     def delete_day(self, table: str, ds: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        day = jvm.org.apache.hadoop.fs.Path(f"{self._path(table)}/ds={ds}")
-        day.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(day, True)
+        delete_folder(self.spark, f"{self._path(table)}/ds={ds}")
 
     def append(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").partitionBy("ds").parquet(self._path(table))

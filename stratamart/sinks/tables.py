@@ -2,20 +2,48 @@
 
 A result is computed once, into a staging folder on shared storage. The checks
 read the staged ORC files (only the columns they need), and the target
-partition is replaced from them. Nothing is held in executor memory between the
-steps, so a lost executor costs a few retried tasks, not a recomputation of the
-whole plan; a result that breaks a rule never touches its table.
+partition is replaced by a map-only copy of them. Nothing is held in executor
+memory between the steps, so a lost executor costs a few retried tasks, not a
+recomputation of the whole plan; a result that breaks a rule never touches its
+table.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..bizdate import parse_ds
 from ..operators.quality import Contract, require
 from ..schemas import TABLES
+from ..storage import delete_folder, size_of
+
+FILE_BYTES = 256 * 1024 * 1024
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A result in its staging folder."""
+
+    name: str
+    rows: DataFrame
+    path: str
+
+    def sized(self) -> DataFrame:
+        """The rows in as many tasks as output files are wanted.
+
+        The size is measured, so small results become one file and large ones
+        many; coalesce only groups input splits, it shuffles nothing.
+        """
+        size = size_of(self.rows.sparkSession, self.path)
+        return self.rows.coalesce(max(1, math.ceil(size / FILE_BYTES)))
+
+    def drop(self) -> None:
+        delete_folder(self.rows.sparkSession, self.path)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,52 +54,50 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` once and return what was written, with its folder."""
+def stage(df: DataFrame, name: str) -> Staged:
+    """Compute ``df`` into a fresh staging folder, in the table's column types."""
     path = f"{shared_folder(df.sparkSession)}/staging/{name}/{uuid.uuid4().hex}"
-    df.write.orc(path)
-    return df.sparkSession.read.schema(df.schema).orc(path), path
+    schema = TABLES[name].schema
+    df.select(*[F.col(c.name).cast(c.dataType) for c in schema]).write.orc(path)
+    return Staged(name, df.sparkSession.read.schema(schema).orc(path), path)
+
+
+def _replace(staged: Staged, ds: str) -> None:
+    spark = staged.rows.sparkSession
+    view = f"staged_{uuid.uuid4().hex}"
+    staged.sized().createOrReplaceTempView(view)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {staged.name} PARTITION (ds='{ds}') SELECT * FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
 
 
-def unstage(spark: SparkSession, path: str) -> None:
-    """Delete one staging folder made by ``stage``."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def _checked(staged: Staged, contract: Contract | None) -> int:
+    return require(staged.rows, contract) if contract else staged.rows.count()
 
 
 def write_partition(df: DataFrame, name: str, ds: str, contract: Contract | None) -> int:
     """Replace one ``ds`` of a table by checked rows; other days stay as they are."""
     parse_ds(ds)
-    table = TABLES[name]
-    spark = df.sparkSession
-    staged, path = stage(df.select(*table.columns), name)
+    staged = stage(df, name)
     try:
-        rows = require(staged, contract) if contract else staged.count()
-        # REBALANCE lets AQE choose the number and size of files.
-        view = f"staged_{uuid.uuid4().hex}"
-        staged.createOrReplaceTempView(view)
-        try:
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {name} PARTITION (ds='{ds}') "
-                f"SELECT /*+ REBALANCE */ {', '.join(table.columns)} FROM {view}"
-            )
-        finally:
-            spark.catalog.dropTempView(view)
+        rows = _checked(staged, contract)
+        _replace(staged, ds)
     finally:
-        unstage(spark, path)
+        staged.drop()
     return rows
 
 
 def write_whole(df: DataFrame, name: str, contract: Contract | None = None) -> int:
     """Replace an unpartitioned table."""
-    table = TABLES[name]
-    staged, path = stage(df.select(*table.columns), name)
+    staged = stage(df, name)
     try:
-        rows = require(staged, contract) if contract else staged.count()
-        staged.hint("rebalance").write.insertInto(name, overwrite=True)
+        rows = _checked(staged, contract)
+        staged.sized().write.insertInto(name, overwrite=True)
     finally:
-        unstage(df.sparkSession, path)
+        staged.drop()
     return rows
 
 
@@ -83,11 +109,14 @@ def replace_day(frames: dict[str, DataFrame], ds: str) -> dict[str, int]:
     reader may see some tables of the new run while the last are being copied.
     """
     parse_ds(ds)
-    staged: dict[str, tuple[DataFrame, str]] = {}
+    staged: list[Staged] = []
     try:
         for name, df in frames.items():
-            staged[name] = stage(df.select(*TABLES[name].columns), name)
-        return {name: write_partition(df, name, ds, None) for name, (df, _) in staged.items()}
+            staged.append(stage(df, name))
+        rows = {one.name: one.rows.count() for one in staged}
+        for one in staged:
+            _replace(one, ds)
+        return rows
     finally:
-        for df, path in staged.values():
-            unstage(df.sparkSession, path)
+        for one in staged:
+            one.drop()

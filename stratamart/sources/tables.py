@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..bizdate import parse_ds
 from ..errors import DataQualityError
 from ..schemas import TABLES, Table
+from ..storage import make_folder
 
 
 def create_statement(table: Table, root: str) -> str:
@@ -28,6 +29,7 @@ def create_all(spark: SparkSession, root: str) -> None:
     for database in sorted({name.split(".")[0] for name in TABLES}):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in TABLES.values():
+        make_folder(spark, location(table.name, root))
         spark.sql(create_statement(table, root))
         if table.partitioned:
             spark.catalog.recoverPartitions(table.name)
