@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
         builder.config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.debug.maxToStringFields", "1000")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(folder / "shared"))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))

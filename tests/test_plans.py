@@ -1,0 +1,137 @@
+"""Shapes of physical plans: what must and what must not be in them."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import facts as f
+from stratamart.operators.dedup import latest_by, only_member
+from stratamart.plans import ads, dwd, dws
+from stratamart.streaming import contract
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as they are when no side is small enough to broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The facts as partitioned files, as jobs read them."""
+    root = tmp_path_factory.mktemp("stored")
+    rows = {
+        "order": ([f.order()], f.ORDER), "detail": ([f.detail()], f.DETAIL),
+        "payment": ([f.payment()], f.PAYMENT), "behavior": ([f.event()], f.BEHAVIOR),
+        "rating": ([f.rating()], f.RATING),
+    }
+    out = {}
+    for name, (data, schema) in rows.items():
+        df = spark.createDataFrame(data, schema)
+        df.write.partitionBy("ds").parquet(f"{root}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    sku = spark.createDataFrame(f.SKUS, f.SKU)
+    sku.write.parquet(f"{root}/sku")
+    out["sku"] = spark.read.schema(sku.schema).parquet(f"{root}/sku")
+    return out
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df._jdf.queryExecution().toRdd().count()
+    text = plan(df)
+    return text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+
+
+def exchanges(text):
+    return re.findall(r"Exchange (?:hashpartitioning\(([^)]*)\)|SinglePartition)", text)
+
+
+def test_dedup_limits_rows_before_the_shuffle(stored):
+    text = plan(latest_by(stored["order"], ["order_id"], ["update_time"]))
+    assert re.search(r"WindowGroupLimit.*Final", text)
+    assert re.search(r"Exchange hashpartitioning(.|\n)*WindowGroupLimit.*Partial", text)
+
+
+def test_single_success_combines_before_the_shuffle(stored):
+    text = plan(only_member(stored["payment"], "order_id", ["payment_amount"]))
+    assert "partial_count(1)" in text and "Window" not in text
+
+
+def test_history_scan_is_pruned(stored):
+    text = plan(dwd.latest_orders(stored["order"], f.DS))
+    assert re.search(r"PartitionFilters: \[isnotnull\(ds#\d+\), \(ds#\d+ <= 20260825\)\]", text)
+
+
+def test_event_filters_reach_the_scan(stored):
+    text = plan(dwd.valid_events(stored["behavior"], f.DS))
+    assert "In(event_type, [view,favorite,cart])" in text or (
+        "In(event_type, [cart,favorite,view])" in text)
+    assert "IsNotNull(session_id)" in text
+
+
+def test_orders_payments_and_amounts_join_without_another_shuffle(stored, no_broadcast):
+    text = final_plan(dwd.valid_orders(stored["order"], stored["detail"], stored["payment"], f.DS))
+    keys = [re.sub(r"#\d+L?", "", e) for e in exchanges(text)]
+    # order dedup; payment dedup and its count; line dedup and its sum.
+    assert sorted(keys) == sorted(
+        ["order_id, 4", "payment_id, 4", "order_id, 4", "order_detail_id, 4", "order_id, 4"]
+    )
+
+
+def test_line_dedup_is_shuffled_once_for_all_its_uses(stored, no_broadcast):
+    text = final_plan(
+        dwd.trade(stored["order"], stored["detail"], stored["payment"], stored["sku"], f.DS)
+    )
+    own = "\n".join(x for x in text.splitlines() if "ReusedExchange" not in x)
+    by_line = [e for e in exchanges(own) if e.startswith("order_detail_id")]
+    assert len(by_line) == 1 and "ReusedExchange" in text
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_hot_orders_are_the_only_forced_broadcast(stored, no_broadcast):
+    text = plan(dwd.trade(stored["order"], stored["detail"], stored["payment"],
+                          stored["sku"], f.DS))
+    joins = re.findall(r"BroadcastHashJoin \[order_id#\d+L\], \[order_id#\d+L\], LeftOuter", text)
+    assert len(joins) == text.count("BroadcastHashJoin") == 1
+    assert "SortMergeJoin [sku_id" in text
+
+
+def test_site_never_joins_facts_to_periods(stored, no_broadcast):
+    trade = dwd.trade(stored["order"], stored["detail"], stored["payment"], stored["sku"], f.DS)
+    events = dwd.behavior(stored["behavior"], stored["sku"], f.DS)
+    text = plan(dws.site_stats(events, trade, stored["order"], f.DS))
+    assert "NestedLoop" not in text and "Cartesian" not in text and "Expand" not in text
+
+
+def test_sku_sides_meet_without_another_shuffle(stored, no_broadcast):
+    trade = dwd.trade(stored["order"], stored["detail"], stored["payment"], stored["sku"], f.DS)
+    events = dwd.behavior(stored["behavior"], stored["sku"], f.DS)
+    text = plan(dws.sku_trade(events, trade, f.DS))
+    full = text[text.index("FullOuter"):]
+    first = full[: full.index("Join", 10)]
+    assert "Exchange" not in first
+    assert "SortAggregate" not in text
+
+
+def test_topn_limits_rows_before_the_shuffle(stored):
+    trade = dwd.trade(stored["order"], stored["detail"], stored["payment"], stored["sku"], f.DS)
+    events = dwd.behavior(stored["behavior"], stored["sku"], f.DS)
+    text = plan(ads.sku_topn(dws.sku_trade(events, trade, f.DS)))
+    assert re.search(r"WindowGroupLimit \[stat_period.*10, Partial", text)
+
+
+def test_disorder_has_no_window_over_all_events(spark):
+    df = spark.createDataFrame([(f.NOON, f.NOON)],
+                               "arrival_time timestamp_ntz, event_time timestamp_ntz")
+    text = plan(contract.running_latest(df))
+    single = re.findall(r"Window \[max\(newest#\d+\) windowspecdefinition\((day#\d+) ASC", text)
+    assert len(single) == 1 and text.count("Exchange SinglePartition") == 1
