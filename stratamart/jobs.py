@@ -24,8 +24,13 @@ SourceReader = Callable[[str], DataFrame]
 
 # ---- dimensions and increments ---------------------------------------------
 
-def load_dimensions(spark: SparkSession, read: SourceReader) -> None:
-    """Replace both dimension tables; refuses empty sources."""
+def load_dimensions(spark: SparkSession, read: SourceReader, *, first_load: bool = False) -> None:
+    """Replace both dimension tables; refuses empty sources.
+
+    ``first_load`` also refuses when any increment is stored already.
+    """
+    if first_load:
+        require_no_facts({i.target: spark.table(i.target) for i in INGESTS})
     shop, sku = read("shop_info"), read("sku_info")
     if shop.isEmpty() or sku.isEmpty():
         raise DataQualityError("shop_info or sku_info is empty")
@@ -175,6 +180,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=names)
     parser.add_argument("--ds", required=True, help="business date, yyyyMMdd")
     parser.add_argument("--root", required=True, help="folder of the warehouse tables")
+    parser.add_argument("--first-load", action="store_true",
+                        help="dimensions: refuse when increments exist")
     parser.add_argument("--slices", type=int, default=24, help="parallel reads per day")
     args = parser.parse_args(argv)
     parse_ds(args.ds)
@@ -184,7 +191,11 @@ def main(argv: list[str] | None = None) -> None:
         create_all(spark, args.root)
         if args.job == "dimensions":
             db = jdbc.Endpoint.from_env("BUSINESS_DB")
-            load_dimensions(spark, lambda t: spark.read.jdbc(db.url, t, properties=db.properties))
+            load_dimensions(
+                spark,
+                lambda t: spark.read.jdbc(db.url, t, properties=db.properties),
+                first_load=args.first_load,
+            )
         elif args.job == "increments":
             db = jdbc.Endpoint.from_env("BUSINESS_DB")
             by_source = {i.source: i for i in INGESTS}

@@ -27,6 +27,23 @@ PERIODS = tuple(PERIOD_DAYS)
 OPEN_START = date(1900, 1, 1)
 
 
+def period_rows(cutoff: Column) -> Column:
+    """Generate four rows (stat_period, start_date) from a cutoff date."""
+    return F.inline(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(p).alias("stat_period"),
+                    (F.lit(OPEN_START) if n is None else F.date_sub(cutoff, n)).alias(
+                        "start_date"
+                    ),
+                )
+                for p, n in PERIOD_DAYS.items()
+            ]
+        )
+    )
+
+
 class Periods:
     """The four periods that end at ``ds``."""
 
@@ -39,13 +56,7 @@ class Periods:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """Four rows: stat_period, start_date."""
-        rows = F.array(
-            *[
-                F.struct(F.lit(p).alias("stat_period"), F.lit(s).alias("start_date"))
-                for p, s in self.starts.items()
-            ]
-        )
-        return spark.range(0, 1, 1, 1).select(F.inline(rows))
+        return spark.range(0, 1, 1, 1).select(period_rows(F.lit(self.cutoff)))
 
     def known(self, day: Column) -> Column:
         """The day lies in the widest period."""

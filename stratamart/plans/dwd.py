@@ -13,7 +13,13 @@ from ..functions.metrics import score_level
 from ..functions.money import money
 from ..functions.temporal import day_of, on_or_before
 from ..operators.dedup import latest_by, only_member
-from ..operators.skew import ROWS_PER_TASK, hot_keys, salted_join, same
+from ..operators.skew import (
+    ROWS_PER_TASK,
+    hot_keys,
+    join_dimension,
+    salted_join,
+    same,
+)
 from ..schemas import columns_of
 from .contracts import EVENT_TYPES
 
@@ -197,7 +203,7 @@ def trade(
     sold = skus.select("sku_id", "shop_id", "sku_name", "category_id",
                        "category_name", "shop_name")
     # (sku_id, shop_id): a line whose SKU belongs to another shop is not valid.
-    full = owned.join(sold, ["sku_id", "shop_id"])
+    full = join_dimension(owned, sold, ["sku_id", "shop_id"], "order_detail_id")
     amounts = {
         c: money(F.col(c))
         for c in ("original_amount", "final_amount", "order_amount", "payment_amount")
@@ -242,10 +248,9 @@ def behavior(events: DataFrame, skus: DataFrame, ds: str) -> DataFrame:
     """Newest valid event of each id, with its SKU's attributes."""
     attributes = skus.select("sku_id", "sku_name", "category_id", "category_name",
                              "shop_id", "shop_name")
+    newest = latest_events(events, ds).drop("ds")
     return (
-        latest_events(events, ds)
-        .drop("ds")
-        .join(attributes, "sku_id")
+        join_dimension(newest, attributes, ["sku_id"], "event_id")
         .withColumn("event_date", day_of(F.col("event_time")))
         .select(*columns_of("cdm.dwd_user_behavior_df"))
     )

@@ -16,7 +16,7 @@ from .functions.money import money
 from .operators import audits
 from .operators.compare import reconcile, set_difference
 from .operators.dedup import repeated_keys
-from .operators.periods import Periods
+from .operators.periods import Periods, period_rows
 from .operators.quality import broken_rows, profile
 from .plans import ads, contracts, dim, dwd, dws
 from .plans.ods import INGESTS, one_day
@@ -127,6 +127,14 @@ def _day_query(source: str) -> Callable[[Layers], DataFrame]:
 
 # ---- period operators ------------------------------------------------------
 
+def _data_periods(w: Layers) -> DataFrame:
+    """The four periods that end at the last day of the event data."""
+    last = w.src.user_behavior.agg(
+        F.max(temporal.day_of(F.col("event_time"))).alias("last_day")
+    )
+    return last.select(period_rows(F.col("last_day")))
+
+
 def _fan_out_inner(w: Layers) -> DataFrame:
     """Event count and users per period, rows fanned out after a daily pre-aggregate."""
     daily = (
@@ -337,7 +345,7 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "cleaning_summary": lambda w: dwd.cleaning_summary(w.src.ods_payment, w.trade(), w.ds),
     "paid_order": lambda w: dws.paid_orders(w.trade()),
     # periods
-    "periods": lambda w: Periods(w.ds).table(w.spark),
+    "periods": _data_periods,
     "period_fanout_inner": _fan_out_inner,
     "period_fanout_outer": _fan_out_outer,
     # audits

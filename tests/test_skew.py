@@ -72,6 +72,26 @@ def test_one_order_with_a_third_of_all_lines(spark):
     assert (row.paid_order_count, row.paid_sku_num, row.gmv) == (3_000, 4_500, 4_500)
 
 
+def test_popular_sku_through_a_large_dimension(spark):
+    """Salted dimension join: same rows as the plain one, none twice."""
+    events = spark.range(6_000).select(
+        F.col("id").alias("event_id"), F.lit("s").alias("session_id"),
+        (F.col("id") % 7).alias("user_id"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 9).cast("bigint").alias("sku_id"),
+        F.lit("view").alias("event_type"),
+        F.lit(str(f.NOON)).cast("timestamp_ntz").alias("event_time"), F.lit(f.DS).alias("ds"))
+    sku = spark.createDataFrame(f.SKUS, f.SKU)
+    plain = dwd.behavior(events, sku, f.DS).collect()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        salted = dwd.behavior(events, sku, f.DS).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(salted) == sorted(plain) and len(plain) == 3_333
+
+
 def test_many_copies_of_one_line(spark):
     copies = spark.range(9_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("order_detail_id"),

@@ -82,6 +82,9 @@ def test_guards(spark, warehouse):
     with pytest.raises(DataQualityError, match="frozen"):
         jobs.require_no_facts({"order_info": spark.range(1), "rating_info": spark.range(0)})
     jobs.require_no_facts({"order_info": spark.range(0)})
+    write_partition(ratings(spark, f.rating(1)), NAME, "20200107", None)
+    with pytest.raises(DataQualityError, match="frozen"):
+        jobs.load_dimensions(spark, lambda t: spark.range(1), first_load=True)
 
 
 def test_replace_day_stages_all_before_replacing(spark, warehouse):
