@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from stratamart.llm.common import table
 
 SIGMA = 1.0
+#: The content cluster's ratio is at least so many times the other's.
+APART = 3.0
 #: Share of the content text that the region of a page without article holds.
 REGION_SHARE = 0.9
 SPACE = re.compile(r"\s+")
@@ -171,7 +173,8 @@ def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
         if upper.all() or not upper.any():
             break
         low, high = smooth[~upper].mean(), smooth[upper].mean()
-    return smooth >= (low + high) / 2
+    # Alike lines are not two clusters.
+    return smooth >= (low + high) / 2 if high >= APART * low else np.ones(len(smooth), bool)
 
 
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
