@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
-DIMENSION_SALTS = 8
 
 
 def same(left: Column, right: Column) -> Column:
@@ -41,13 +40,14 @@ def salted_join(
     key's row is repeated once per salt, and the rows of ``many`` choose a salt
     by hashing ``spread_by``; ordinary keys all use salt 0. The added rows sum
     to at most (all rows / rows_per_task). No row is dropped and no cross
-    product is formed. Joining on (key, salt) also shuffles both sides, so
+    product is formed. Whether the list of hot keys is broadcast is left to AQE,
+    which knows its measured size. Joining on (key, salt) also shuffles both sides, so
     AQE's skew join can still split what remains uneven.
     """
     salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     spread_one = one.withColumn("_salt", F.explode(salts)).drop("_salts")
     spread_many = (
-        many.join(F.broadcast(hot), key, "left")
+        many.join(hot, key, "left")
         .withColumn(
             "_salt",
             F.when(F.col("_salts").isNull(), 0).otherwise(
@@ -57,33 +57,3 @@ def salted_join(
         .drop("_salts")
     )
     return spread_many.join(spread_one, [key, "_salt"]).drop("_salt")
-
-
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Catalyst's size estimate is within the session's broadcast threshold."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return size <= limit
-
-
-def join_dimension(
-    fact: DataFrame, dim: DataFrame, on: list[str], spread_by: str
-) -> DataFrame:
-    """Inner join of facts to a dimension whose popular keys may own very many facts.
-
-    A dimension estimated below the broadcast threshold is joined plainly, so
-    that Spark broadcasts it. A larger one is repeated once per salt and joined
-    on (key, salt), facts taking a salt from ``spread_by``. The salt also keeps
-    the result from counting as grouped by the key: a later aggregate by key
-    combines on the map side and shuffles its own small rows, and AQE remains
-    free to split what a very hot key still leaves uneven.
-    """
-    if _fits_broadcast(dim):
-        return fact.join(dim, on)
-    copies = F.explode(F.sequence(F.lit(0), F.lit(DIMENSION_SALTS - 1)))
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(DIMENSION_SALTS)).cast("int")
-    return (
-        fact.withColumn("_salt", salt)
-        .join(dim.withColumn("_salt", copies), [*on, "_salt"])
-        .drop("_salt")
-    )

@@ -16,7 +16,6 @@ from ..operators.dedup import latest_by, only_member
 from ..operators.skew import (
     ROWS_PER_TASK,
     hot_keys,
-    join_dimension,
     salted_join,
     same,
 )
@@ -203,7 +202,7 @@ def trade(
     sold = skus.select("sku_id", "shop_id", "sku_name", "category_id",
                        "category_name", "shop_name")
     # (sku_id, shop_id): a line whose SKU belongs to another shop is not valid.
-    full = join_dimension(owned, sold, ["sku_id", "shop_id"], "order_detail_id")
+    full = owned.join(sold, ["sku_id", "shop_id"])
     amounts = {
         c: money(F.col(c))
         for c in ("original_amount", "final_amount", "order_amount", "payment_amount")
@@ -250,7 +249,7 @@ def behavior(events: DataFrame, skus: DataFrame, ds: str) -> DataFrame:
                              "shop_id", "shop_name")
     newest = latest_events(events, ds).drop("ds")
     return (
-        join_dimension(newest, attributes, ["sku_id"], "event_id")
+        newest.join(attributes, ["sku_id"])
         .withColumn("event_date", day_of(F.col("event_time")))
         .select(*columns_of("cdm.dwd_user_behavior_df"))
     )

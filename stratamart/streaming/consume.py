@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .messages import DETAIL_TOPIC, parse
 
@@ -67,10 +67,29 @@ def start(
     return writer.start()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark in all recorded batches (a metric, not an error)."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that queries drop behind their watermark, batch by batch.
+
+    Add it to ``spark.streams`` before a query starts: the query's own list of
+    recent progress forgets old batches.
+    """
+
+    def __init__(self) -> None:
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.by_query.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.by_query[query] = self.by_query.get(query, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.by_query.get(str(query.id), 0)

@@ -19,14 +19,22 @@ def expected_topic(event_type: Column) -> Column:
 
 
 def row_violations(log: DataFrame) -> DataFrame:
-    """Messages that break the contract by themselves: rule and event_id."""
+    """Messages that break the contract by themselves: rule and event_id.
+
+    A missing value breaks its rule. A message whose text is no JSON object, or
+    whose text names another id than its envelope, is ``unreadable``.
+    """
     status = F.get_json_object("value", "$.payment_status")
+    succeeded = F.col("event_type").eqNullSafe("PAYMENT_SUCCESS")
     wrong_status = (F.col("topic") == PAYMENT_TOPIC) & (
-        (F.col("event_type") == "PAYMENT_SUCCESS") != (status == "SUCCESS")
+        (succeeded != status.eqNullSafe("SUCCESS")) | status.isNull()
     )
+    text_id = F.get_json_object("value", "$.event_id")
     rules = {
         "topic_type": ~F.col("topic").eqNullSafe(expected_topic(F.col("event_type"))),
-        "business_date": F.col("business_date") != ds_of(F.col("event_time")),
+        "unreadable": F.col("event_id").isNull() | ~text_id.eqNullSafe(F.col("event_id")),
+        "business_date": F.col("event_time").isNull()
+        | ~F.col("business_date").eqNullSafe(ds_of(F.col("event_time"))),
         "status_type": wrong_status,
         "below_millis": has_sub_millis(F.col("event_time")),
     }
@@ -135,7 +143,7 @@ def disorder(log: DataFrame, bound: int = MAX_DISORDER_SECONDS) -> DataFrame:
 
 
 def detail_before_order(log: DataFrame) -> DataFrame:
-    """Orders of which some line arrived before the order itself.
+    """Orders of which some line arrived before the order itself, or without it.
 
     One grouped pass on the key instead of a self join of the log.
     """
@@ -145,5 +153,11 @@ def detail_before_order(log: DataFrame) -> DataFrame:
         log.where(F.col("topic").isin(ORDER_TOPIC, DETAIL_TOPIC))
         .groupBy("key")
         .agg(order_at.alias("order_arrival"), detail_at.alias("first_detail_arrival"))
-        .where(F.col("first_detail_arrival") < F.col("order_arrival"))
+        .where(
+            F.col("first_detail_arrival").isNotNull()
+            & (
+                F.col("order_arrival").isNull()
+                | (F.col("first_detail_arrival") < F.col("order_arrival"))
+            )
+        )
     )

@@ -73,8 +73,8 @@ def test_one_order_with_a_third_of_all_lines(spark):
 
 
 def test_popular_sku_through_a_large_dimension(spark):
-    """Salted dimension join: same rows as the plain one, none twice."""
-    events = spark.range(6_000).select(
+    """Shuffled join: same rows as the broadcast one, and AQE splits the popular SKU."""
+    events = spark.range(120_000).select(
         F.col("id").alias("event_id"), F.lit("s").alias("session_id"),
         (F.col("id") % 7).alias("user_id"),
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 9).cast("bigint").alias("sku_id"),
@@ -82,14 +82,27 @@ def test_popular_sku_through_a_large_dimension(spark):
         F.lit(str(f.NOON)).cast("timestamp_ntz").alias("event_time"), F.lit(f.DS).alias("ds"))
     sku = spark.createDataFrame(f.SKUS, f.SKU)
     plain = dwd.behavior(events, sku, f.DS).collect()
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "2k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
-        salted = dwd.behavior(events, sku, f.DS).collect()
+        joined = dwd.behavior(events.repartition(8), sku, f.DS)
+        shuffled = joined.collect()
+        text = joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set(key, before)
-    assert sorted(salted) == sorted(plain) and len(plain) == 3_333
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert sorted(shuffled) == sorted(plain) and len(plain) == 66_666
+    assert "skew=true" in text
 
 
 def test_many_copies_of_one_line(spark):
