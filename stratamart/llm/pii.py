@@ -35,6 +35,8 @@ from stratamart.llm.common import part_of_md5, table
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 1500
+#: Characters of each document of the sample that the fit reads at most; detection reads all.
+SAMPLE_CHARS = 20_000
 #: Training windows taken from the sample.
 WINDOWS = 400
 LONGEST = 9
@@ -355,7 +357,7 @@ def detect(text: Column, weights: np.ndarray) -> Column:
 def trained(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """Fit on at most ``sample`` documents that hold a digit or an at sign."""
     some = docs.filter(F.col("text").rlike("[0-9@]")).select(
-        F.substring("text", 1, 20_000).alias("text"), part_of_md5(F.col("doc_id").cast("string"), 1, 12).alias("turn")
+        F.substring("text", 1, SAMPLE_CHARS).alias("text"), part_of_md5(F.col("doc_id").cast("string"), 1, 12).alias("turn")
     )
     chosen = some.orderBy("turn", F.md5("text")).limit(sample).collect()
     return fit([row.text for row in chosen])
