@@ -48,6 +48,19 @@ def part_of_md5(text: Column, first_digit: int, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text), first_digit, digits), 16, 10).cast("long")
 
 
+def drawn(docs: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows (text) of ``docs`` (doc_id, text), drawn by hash of doc_id.
+
+    The numbers alone are sorted first; texts of rows beyond the last number drawn
+    leave no task, however many tasks there are.
+    """
+    turn = F.coalesce(part_of_md5(F.col("doc_id").cast("string"), 1, 12), F.lit(0).cast("long"))
+    numbered = docs.select(turn.alias("turn"), "text")
+    last = numbered.select("turn").orderBy("turn").limit(most).agg(F.max("turn").alias("turn")).first().turn
+    near = numbered.filter(F.col("turn") <= F.lit(-1 if last is None else last))
+    return near.orderBy("turn", F.md5("text")).limit(most).select("text")
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 

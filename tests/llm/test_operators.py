@@ -399,7 +399,7 @@ def test_model_is_causal_normal_and_scores_each_token_once():
     rng = np.random.default_rng(8)
     of = np.append(rng.integers(0, lm_score.CLASSES - 1, lm_score.PIECES), lm_score.CLASSES - 1)
     inside = np.zeros((lm_score.CLASSES + 1, lm_score.PIECES + 1), np.float32)
-    model = lm_score.Attention(of, inside, np.ones(lm_score.PIECES + 1, bool))
+    model = lm_score.Attention(of, inside, np.append(of[:-1] % 2 == 0, True))
     x = rng.integers(0, lm_score.CLASSES, (3, 32))
     z, _ = model.forward(x, 0)
     changed = x.copy()
@@ -407,12 +407,28 @@ def test_model_is_causal_normal_and_scores_each_token_once():
     assert np.allclose(model.forward(changed, 0)[0][:, :20], z[:, :20], atol=1e-5)
     ids = np.append(rng.integers(0, lm_score.PIECES, 150), lm_score.END)
     ends = np.array([1, 40, 151])
-    tokens = model.scores(ids, ends)
-    assert (tokens < 0).all()
+    tokens, _, begins = model.scores(ids, ends)
+    assert (tokens < 0).all() and (begins < 0).all()
     for begin, end in ((0, 1), (1, 40), (40, 151)):  # alone as together
-        assert np.allclose(model.scores(ids[begin:end], np.array([end - begin])), tokens[begin:end], atol=1e-4)
-    every = np.stack([model.log_chances(x, np.full_like(x, c), 0) for c in range(lm_score.CLASSES)])
-    assert np.allclose((10.0**every).sum(0), 1, atol=1e-4)
+        alone, _, starts = model.scores(ids[begin:end], np.array([end - begin]))
+        assert np.allclose(alone, tokens[begin:end], atol=1e-4)
+        assert np.allclose(starts, begins[begin:end], atol=1e-4)
+    every = 10.0 ** np.stack([model.log_chances(x, np.full_like(x, c), 0)[0] for c in range(lm_score.CLASSES)])
+    begin = 10.0 ** model.log_chances(x, x % lm_score.CLASSES, 0)[1]
+    starting = model.sides[:, 1] > 0
+    assert np.allclose(every[starting].sum(0), 1, atol=1e-4)
+    assert np.allclose(every[~starting].sum(0) + begin, 1, atol=1e-4)
+
+
+def test_frequent_words_and_windows_tell_languages_apart():
+    table = {b" a": 0, b" b": 1, b" x": 2, b" y": 3, b"s": 4}
+    begins = np.zeros(lm_score.PIECES + 1, bool)
+    begins[[0, 1, 2, 3, lm_score.END]] = True
+    windows = np.array([[0] * 9 + [100 + i, 200] for i in range(40)] + [[1] * 9 + [150 + i, 300] for i in range(40)])
+    of = lm_score.class_of_ids(windows, table, begins)
+    assert of[0] != of[1] and len(of) == lm_score.PIECES + 1
+    assert not set(of[begins]) & set(of[~begins][of[~begins] >= lm_score.ALONE])
+    assert of.max() == of[lm_score.END] == lm_score.CLASSES - 1
 
 
 def test_language_model_of_odd_rows(odd, none):
