@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import part_of_md5, table
+from stratamart.llm.common import drawn, table
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 1500
@@ -356,10 +356,8 @@ def detect(text: Column, weights: np.ndarray) -> Column:
 
 def trained(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """Fit on at most ``sample`` documents that hold a digit or an at sign."""
-    some = docs.filter(F.col("text").rlike("[0-9@]")).select(
-        F.substring("text", 1, SAMPLE_CHARS).alias("text"), part_of_md5(F.col("doc_id").cast("string"), 1, 12).alias("turn")
-    )
-    chosen = some.orderBy("turn", F.md5("text")).limit(sample).collect()
+    some = docs.filter(F.col("text").rlike("[0-9@]")).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "doc_id")
+    chosen = drawn(some, sample).collect()
     return fit([row.text for row in chosen])
 
 
