@@ -5,10 +5,14 @@ new line. A line keeps its text, the number of tags in it, the elements around
 it, and whether one of them is page furniture (navigation, header, footer,
 sidebar, notice, advert, form, script, comments), told by tag, role or class.
 Text per tag of each line is smoothed by a Gaussian, and a two-means threshold
-splits lines into content and the rest. The content lines choose the region:
-the ``article`` (else ``main``) with most of their text, or, on pages without
-either, the deepest element that holds nearly all of it, between the first and
-the last content line. Every line of the region that is no furniture is kept.
+splits lines into content and the rest. On every page the content lines choose
+the regions: an ``article`` (outermost) is one if a line in it is content by its
+own ratio, or if it stands beside such an article and holds a smoothed content
+line; a ``main`` likewise, by lines outside articles; elsewhere each run of
+content lines is one, and what lies between two runs of the same element. Lines
+of an article that is not chosen are left out. Regions grow over the headings
+and paragraphs beside them. Every line of a region that is no furniture is kept,
+in page order. Where all lines are alike all of them are content.
 
 Defined results: null and empty pages, pages without text and pages of
 furniture only give an empty text; markup cut off at the end is read as far as
@@ -32,8 +36,6 @@ from stratamart.llm.common import table
 SIGMA = 1.0
 #: The content cluster's ratio is at least so many times the other's.
 APART = 3.0
-#: Share of the content text that the region of a page without article holds.
-REGION_SHARE = 0.9
 SPACE = re.compile(r"\s+")
 
 BLOCKS = frozenset(
@@ -61,6 +63,10 @@ ROLES = frozenset(
 ALWAYS_OPEN = frozenset("html body main".split())
 #: An open element that a new one of the given tags closes.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr"}}
+#: Blocks over which a region grows; the others only inside an element that it has lines of.
+GROWS_OVER = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+GROWS_INSIDE = GROWS_OVER | frozenset("blockquote pre li dt dd figcaption caption td th".split())
+ROOT = -1  # stands for html and body in paths
 ENDS_PARAGRAPH = BLOCKS - {"br", "option", "title", "head", "body", "html", "legend", "summary", "caption"}
 
 
@@ -82,23 +88,25 @@ def is_furniture(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, path of element numbers, furniture) per line."""
+    """Collects (text, tags, path of element numbers) per line, without furniture."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.names: list[str] = []  # of every element ever opened, by number
         self.open: list[tuple[str, int, bool]] = []
         self.hidden = 0
         self.parts: list[str] = []
         self.tags = 0
+        self.left_out = False
 
     def end_line(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.open), self.hidden > 0))
+            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.open)))
+        if text or self.left_out:
             self.tags = 0
-        self.parts = []
+        self.parts, self.left_out = [], False
 
     def pop_to(self, depth: int) -> None:
         while len(self.open) > depth:
@@ -142,14 +150,17 @@ class Lines(HTMLParser):
                 break
 
     def handle_data(self, data: str) -> None:
-        self.parts.append(data)
+        if self.hidden:
+            self.left_out |= not data.isspace()
+        else:
+            self.parts.append(data)
 
     def unknown_decl(self, data: str) -> None:
         pass
 
 
 def read_lines(html: str) -> Lines:
-    for source in (html, html.replace("<![", "&lt;![")):
+    for source in (html, re.sub(r"<!\[[^<>]*>?", "", html)):
         parser = Lines()
         try:
             parser.feed(source)
@@ -161,8 +172,8 @@ def read_lines(html: str) -> Lines:
     return Lines()
 
 
-def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
-    """Which lines have a high text-to-tag ratio after smoothing (two means)."""
+def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> tuple[np.ndarray, float]:
+    """Which lines have a high text-to-tag ratio after smoothing (two means), and from which ratio on."""
     reach = max(1, math.ceil(3 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     weight = np.convolve(np.ones(len(ratios)), kernel)[reach : reach + len(ratios)]
@@ -174,34 +185,80 @@ def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
             break
         low, high = smooth[~upper].mean(), smooth[upper].mean()
     # Alike lines are not two clusters.
-    return smooth >= (low + high) / 2 if high >= APART * low else np.ones(len(smooth), bool)
+    if high < APART * low:
+        return np.ones(len(smooth), bool), 0.0
+    return smooth >= (low + high) / 2, (low + high) / 2
+
+
+def runs(mask: np.ndarray) -> list[range]:
+    """Ranges of adjoining true positions."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
+    return [range(i, j) for i, j in zip(edges[::2], edges[1::2], strict=True)]
+
+
+def in_regions(paths: list[tuple[int, ...]], names: list[str], content: np.ndarray, strong: np.ndarray) -> np.ndarray:
+    """Which lines belong to the regions that the content lines choose."""
+    n = len(paths)
+    articles, mains, blocks, within = [], [], [], []
+    parent: dict[int, int] = {}  # the block around each article
+    for path in paths:
+        block = [ROOT, *(e for e in path if names[e] in BLOCKS and names[e] not in ("html", "body"))]
+        articles.append(next((e for e in block[1:] if names[e] == "article"), None))
+        mains.append(next((e for e in block[1:] if names[e] == "main"), None))
+        if articles[-1] is not None:
+            parent[articles[-1]] = block[block.index(articles[-1]) - 1]
+        blocks.append(names[block[-1]] if len(block) > 1 else "")
+        within.append(block[:-1] or [ROOT])
+    chosen = {articles[i] for i in np.flatnonzero(strong)} - {None}
+    beside = {parent[e] for e in chosen}
+    chosen |= {e for i in np.flatnonzero(content) if (e := articles[i]) is not None and parent[e] in beside}
+    chosen_mains = {mains[i] for i in np.flatnonzero(strong) if articles[i] is None} - {None}
+    open_ = np.array([e is None or e in chosen for e in articles])
+    keep = np.array([articles[i] in chosen or open_[i] and mains[i] in chosen_mains for i in range(n)], bool)
+    free = np.array([articles[i] is None and mains[i] not in chosen_mains for i in range(n)])
+    ends: dict[int, list[int]] = {}
+    for run in runs(content & free):
+        if strong[run.start : run.stop].any():
+            keep[run.start : run.stop] = True
+            for i in run:
+                ends.setdefault(within[i][-1], []).append(i)
+    for own in ends.values():
+        keep[min(own) : max(own) + 1] |= open_[min(own) : max(own) + 1]
+
+    def joins(i: int, near: int) -> bool:
+        """Whether line ``i`` goes with the kept line ``near`` beside it."""
+        around = within[near] if articles[near] is None else within[near][: within[near].index(parent[articles[near]]) + 1]
+        if not open_[i]:
+            return False
+        if within[i][-1] in around:
+            return blocks[i] in GROWS_OVER
+        if around[-1] in within[i] and around[-1] != ROOT:
+            return blocks[i] in GROWS_INSIDE
+        # A section beside the section of the kept line.
+        return len(within[i]) > 2 and within[i][-2] in around and blocks[i] in GROWS_OVER
+
+    for order in (range(1, n), range(n - 2, -1, -1)):
+        for i in order:
+            near = i - order.step
+            keep[i] |= bool(keep[near]) and not keep[i] and joins(i, near)
+    return keep
 
 
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
-    """The page's article, its blocks joined by one space."""
+    """The page's main text, its blocks joined by one space."""
     if not html:
         return ""
     parser = read_lines(html)
-    lines = [line for line in parser.lines if not line[3]]
+    lines = parser.lines
     if not lines:
         return ""
-    lengths = np.array([len(line[0]) for line in lines], float)
-    content = content_lines(lengths / np.array([max(1, line[1]) for line in lines]), sigma)
-    held: dict[int, float] = {}
-    for line, length, high in zip(lines, lengths, content, strict=True):
-        for number in line[2]:
-            # Lines outside the content cluster only break ties.
-            held[number] = held.get(number, 0.0) + (length if high else length * 1e-6)
-    for tag in ("article", "main"):
-        of_tag = [n for n in held if parser.names[n] == tag]
-        if of_tag:
-            region = max(of_tag, key=lambda n: (held[n], -n))
-            return " ".join(line[0] for line in lines if region in line[2])
-    total = lengths[content].sum()
-    whole = [n for n in held if held[n] >= REGION_SHARE * total]
-    chosen = [i for i, line in enumerate(lines) if not whole or max(whole) in line[2]]
-    kept = [i for i in chosen if content[i]] or chosen
-    return " ".join(lines[i][0] for i in chosen if kept[0] <= i <= kept[-1])
+    ratios = np.array([len(line[0]) / max(1, line[1]) for line in lines])
+    content, least = content_lines(ratios, sigma)
+    strong = content & (ratios >= least)
+    if not strong.any():
+        strong = content
+    keep = in_regions([line[2] for line in lines], parser.names, content, strong)
+    return " ".join(line[0] for line, kept in zip(lines, keep, strict=True) if kept)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -83,6 +83,27 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def paragraphs(name, n):
+    return [f"Paragraph {i} {name} " + "with a good deal of running text in it " * 8 + "so it ends." for i in range(n)]
+
+
+def test_content_chooses_the_regions_on_every_page():
+    body, more = paragraphs("one", 4), paragraphs("two", 4)
+    p = lambda texts: "".join(f"<p>{x}</p>" for x in texts)
+    links = "<ul>" + "<li><a href='/x'>go</a></li>" * 9 + "</ul>"
+    teaser = "<article><h3><a href='/y'><b>Read</b></a></h3></article>"
+    page = f"<div>{teaser}</div>{links}<div>{p(body)}</div>"
+    assert html_text.main_text(page) == " ".join(body)
+    page = f"<main><article>{p(body)}</article><article>{p(more)}</article></main>"
+    assert html_text.main_text(page) == " ".join(body + more)
+    # A tenth of the text in another element, headings and a short end.
+    page = (
+        f"{links}<div><div><h1>Title</h1>{p(body)}{p(more)}<p>Short end.</p></div></div>{links}"
+        f"<div><h2>Part</h2>{p(body[:2])}</div>{links}"
+    )
+    assert html_text.main_text(page) == " ".join(["Title", *body, *more, "Short end.", "Part", *body[:2]])
+
+
 def test_every_page_gives_its_article(spark):
     rows = html_text.op1_html_text(spark, SMALL).collect()
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
