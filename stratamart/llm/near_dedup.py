@@ -28,7 +28,9 @@ Words are split at white space, lower-cased, and stripped of punctuation at
 their ends. Defined results: a text of fewer than five words is one shingle of
 all of them; null texts and texts without words form one class; a null doc_id
 stays a row; repeated rows share a class; the class id is the least doc_id in
-it; an empty table gives an empty one; ``keep_one`` keeps all columns.
+it, and as one doc_id may carry texts of several classes, ``class_root`` tells
+these apart (the hash of the class's least multiset); an empty table gives an
+empty one; ``keep_one`` keeps all columns and one row of each class.
 """
 
 from __future__ import annotations
@@ -49,6 +51,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 7
 M = BANDS * ROWS
+MARK = "__near_dedup_mark"
 #: Nodes of a bucket that are compared as one block.
 CHUNK = 512
 #: Characters of text that are worked on at once.
@@ -188,8 +191,8 @@ def sketches(texts: list[str]) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["bag", "size", "bands", "grams"])
 
 
-def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, bag, size, bands, grams) of every row."""
+def sketched(docs: DataFrame, text: str = "text", *also: str) -> DataFrame:
+    """(doc_id, bag, size, bands, grams) of every row, and the binary columns ``also``."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -199,14 +202,16 @@ def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
                 size += len(t)
                 if size >= BATCH_CHARS or i == len(texts) - 1:
                     part = sketches(texts[first : i + 1])
-                    part.insert(0, "doc_id", batch.doc_id.iloc[first : i + 1].to_numpy())
+                    for at, name in enumerate(["doc_id", *also]):
+                        part.insert(at, name, batch[name].iloc[first : i + 1].to_numpy())
                     yield part
                     first, size = i + 1, 0
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), *also)
     # pandas would turn longs beside nulls into doubles
     marked = slim.withColumn("doc_id", F.col("doc_id").cast("string"))
-    return marked.mapInPandas(work, f"doc_id string, {SKETCH}").withColumn("doc_id", F.col("doc_id").cast("long"))
+    shape = ", ".join(["doc_id string", *[f"{name} binary" for name in also], SKETCH])
+    return marked.mapInPandas(work, shape).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def overlap(a: bytes, b: bytes) -> float:
@@ -322,25 +327,44 @@ def linked(sketch: DataFrame) -> DataFrame:
     return stored(stars.unionByName(in_buckets(blocks)))
 
 
-def classes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, class_id, class_size) of every row of ``docs``."""
-    sketch = stored(sketched(docs, text))
+def rooted(sketch: DataFrame) -> DataFrame:
+    """(bag, root, least, copies) of every multiset of a stored sketch: its class,
+    least doc_id and rows."""
     roots = components(linked(sketch)).withColumnRenamed("node", "bag")
     bags = sketch.groupBy("bag").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    placed = stored(bags.join(roots, "bag", "left").withColumn("root", F.coalesce("root", "bag")))
+    return stored(bags.join(roots, "bag", "left").withColumn("root", F.coalesce("root", "bag")))
+
+
+def classes(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, class_id, class_size, class_root) of every row of ``docs``."""
+    sketch = stored(sketched(docs, text))
+    placed = rooted(sketch)
     sums = placed.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
-    of_bag = stored(placed.select("bag", "root").join(sums, "root").select("bag", "class_id", "class_size"))
-    return sketch.select("doc_id", "bag").join(of_bag, "bag").select("doc_id", "class_id", "class_size")
+    of_bag = stored(placed.select("bag", "root").join(sums, "root"))
+    return sketch.select("doc_id", "bag").join(of_bag, "bag").select(
+        "doc_id", "class_id", "class_size", F.hex("root").alias("class_root")
+    )
 
 
-def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one row of each class: the first of its least doc_id.
+def content_mark(docs: DataFrame) -> Column:
+    """128 bits that name a row by all its columns; nulls differ from every value."""
+    parts = [x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]
+    halves = [F.hex(F.xxhash64(F.lit(seed), *parts)) for seed in (1, 2)]
+    return F.unhex(F.concat(*[F.lpad(h, 16, "0") for h in halves]))
 
-    Rows without doc_id stay: nothing names them.
-    """
-    kept = classes(docs, text).filter("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+
+def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with one row of each class: of its least doc_id, else of no doc_id,
+    the least by multiset and content. Rows that agree in all columns are one."""
+    marked = docs.withColumn(MARK, content_mark(docs))
+    sketch = stored(sketched(marked, text, MARK))
+    # One row per bag first, so that copies are combined before the shuffle.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "bag", MARK))
+    of_bag = sketch.groupBy("bag").agg(first.alias("first"))
+    of_class = of_bag.join(rooted(sketch), "bag").groupBy("root").agg(F.min("first").alias("first"))
+    kept = stored(of_class.select(F.col(f"first.{MARK}").alias(MARK)))
+    # Repeated rows are combined before the shuffle too.
+    return marked.dropDuplicates([MARK]).join(kept, MARK, "left_semi").select(docs.columns)
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -281,6 +281,22 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert near_dedup.classes(none).count() == 0
 
 
+def test_one_row_of_each_class_stays_whatever_its_doc_id(spark):
+    first, second = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    third, fourth = (" ".join(f"{x}{i}" for i in range(30)) for x in "cd")
+    rows = [(7, first, "x"), (7, second, "x"), (8, second, "y"), (7, first, None), (7, first, "x")]
+    rows += [(None, third, "x"), (None, third, "y"), (None, third, "x"), (None, fourth, None), (9, fourth, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in near_dedup.keep_one(docs).collect()]
+    assert sorted(r[1] for r in kept) == sorted([first, second, third, fourth]) and set(kept) <= set(rows)
+    assert {r[1]: r[0] for r in kept} == {first: 7, second: 7, third: None, fourth: 9}
+    again = near_dedup.keep_one(docs.repartition(3)).collect()
+    assert sorted(map(repr, kept)) == sorted(repr(tuple(r)) for r in again)
+    found = near_dedup.classes(docs).collect()
+    assert len({(r.class_id, r.class_root) for r in found}) == 4
+    assert sorted(r.class_size for r in found) == [2] * 4 + [3] * 6
+
+
 # 6: mixing
 
 
