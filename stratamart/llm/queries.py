@@ -33,6 +33,7 @@ def queries() -> dict[str, Query]:
         "op7_decontam": decontam.op7_decontam,
         "op8_sharding": sharding.op8_sharding,
         "op9_token_rollup": token_rollup.op9_token_rollup,
+        "token_totals": token_rollup.token_totals,
         "op10_lm_score": lm_score.op10_lm_score,
     }
 

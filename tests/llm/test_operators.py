@@ -398,6 +398,25 @@ def test_rollup_equals_a_recount(spark):
     assert sum(r.n_docs for r in rows) == len(seen)
 
 
+def test_rollup_gives_totals_of_all_rows_too(spark, tmp_path):
+    rows = [(1, "a b", "en", "x"), (1, "a b", "en", "x"), (None, "a b", "en", "y"), (None, "c  d e", None, "y")]
+    rows += [(None, "c  d e", None, "y"), (5, None, "de", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    encoder = token_rollup.encoding(token_rollup.sent(spark).value)
+    count = {"byte_bpe_50k": lambda t: len(encoder.encode_ordinary(t)), "white-space": lambda t: len(t.split())}
+    expected = collections.defaultdict(lambda: (0, 0, 0))
+    for _, text, lang, source in rows:
+        for version, tokens in count.items():
+            docs, chars, n = expected[source, lang, version]
+            expected[source, lang, version] = (docs + 1, chars + len(text or ""), n + tokens(text or ""))
+    got = queries.queries()["token_totals"](spark, str(tmp_path)).collect()
+    assert {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_chars, r.n_tokens) for r in got} == expected
+    once = token_rollup.op9_token_rollup(spark, str(tmp_path)).collect()
+    assert {(r.source, r.lang): r.n_docs for r in once} == {("x", "en"): 1, ("y", None): 1, (None, "de"): 1}
+
+
 def test_batches_count_once(spark, odd, none):
     rollup = token_rollup.Rollup(spark)
     assert rollup.totals().count() == 0
