@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..streaming.messages import type_priority
 
 SLICE_SECONDS = 60
+#: The slice of messages without event_time, after that of every time.
+UNTIMED = 2**62
 
 
 def send_slices(
@@ -21,10 +23,11 @@ def send_slices(
     shorter than the disorder that consumers allow for, hence no mixing makes a
     message late. Inside a slice a key belongs to one task, in time order. The
     log is staged once, split by slice; only the numbers of its slices (1,440 a
-    day at most) come to the driver. Returns how many were sent.
+    day at most) come to the driver. Messages without event_time make up a last
+    slice of their own. Returns how many were sent.
     """
     number = F.floor(F.unix_seconds(F.col("event_time").cast("timestamp")) / seconds)
-    log.withColumn("slice", number).write.mode("overwrite").partitionBy("slice").parquet(staging)
+    log.withColumn("slice", F.coalesce(number, F.lit(UNTIMED))).write.mode("overwrite").partitionBy("slice").parquet(staging)
     staged = log.sparkSession.read.parquet(staging)
     numbers = sorted(row.slice for row in staged.select("slice").distinct().collect())
     order = ["key", "event_time", type_priority(F.col("event_type")), "event_id"]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import facts as f
-from stratamart.sinks.topics import send_to_folder
+from stratamart.sinks.topics import send_slices, send_to_folder
 from stratamart.streaming import consume, contract, messages
 
 DETAIL_ID = 500001
@@ -224,6 +224,16 @@ def test_slices_lose_nothing_at_any_batch_size(spark, tmp_path, files_per_batch)
     assert spark.read.parquet(f"{tmp_path}/rows").select("order_id").distinct().count() == 600
 
 
+@pytest.mark.parametrize("times", [[None, "2025-01-01 00:00:00", "1969-12-31 23:59:30"], [None, None]])
+def test_messages_without_time_are_sent_last(spark, tmp_path, times):
+    rows = [(f"e{i}", "order_created", t, "topic", f"k{i}", f"v{i}") for i, t in enumerate(times)]
+    log = spark.createDataFrame(rows, "event_id string, event_type string, event_time string, topic string, key string, value string")
+    sent = []
+    count = send_slices(log, str(tmp_path / "staged"), lambda df: sent.append(sorted(r.value for r in df.collect())))
+    assert count == len(sent) == len(set(times))
+    assert sorted(v for part in sent for v in part) == sorted(r[5] for r in rows) and "v0" in sent[-1]
+
+
 def test_missing_and_unreadable_values_break_their_rules(log):
     broken = log.where("topic = 'ods_payment_info'").limit(1)
     no_status = broken.withColumn("value", F.regexp_replace("value", '"payment_status":"[A-Z]+",?', ""))
