@@ -10,6 +10,7 @@ from stratamart.llm import (
     decontam,
     html_text,
     lm_score,
+    merkle,
     mixing,
     near_dedup,
     pii,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op9_token_rollup": token_rollup.op9_token_rollup,
         "token_totals": token_rollup.token_totals,
         "op10_lm_score": lm_score.op10_lm_score,
+        "op13_merkle": merkle.op13_merkle,
     }
 
 
@@ -44,4 +46,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_pivot_search": pivot_search.OP2_SQL,
         "op6_mixing": mixing.OP6_SQL,
         "op8_sharding": sharding.OP8_SQL,
+        "op13_merkle": merkle.OP13_SQL,
     }
