@@ -13,6 +13,7 @@ from stratamart.llm import (
     merkle,
     mixing,
     near_dedup,
+    packing,
     pii,
     pivot_search,
     quality,
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op9_token_rollup": token_rollup.op9_token_rollup,
         "token_totals": token_rollup.token_totals,
         "op10_lm_score": lm_score.op10_lm_score,
+        "op11_packing": packing.op11_packing,
         "op13_merkle": merkle.op13_merkle,
     }
 
