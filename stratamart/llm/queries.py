@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.llm import (
     decontam,
+    hard_negatives,
     html_text,
     lm_score,
     merkle,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "token_totals": token_rollup.token_totals,
         "op10_lm_score": lm_score.op10_lm_score,
         "op11_packing": packing.op11_packing,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
         "op13_merkle": merkle.op13_merkle,
     }
 
@@ -48,5 +50,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_pivot_search": pivot_search.OP2_SQL,
         "op6_mixing": mixing.OP6_SQL,
         "op8_sharding": sharding.OP8_SQL,
+        "op12_hard_negatives": hard_negatives.OP12_SQL,
         "op13_merkle": merkle.OP13_SQL,
     }

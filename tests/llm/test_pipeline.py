@@ -43,5 +43,5 @@ def test_entry_lists_the_operators():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 12
+    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 13
     assert set(entry.oracle_sql()) <= set(names)
