@@ -1,8 +1,9 @@
 """The corpus pipeline: raw documents to a mixed, sharded training corpus.
 
 Every stage takes the documents that the stage before it wrote and returns
-documents; only the last adds columns (shard, slot). Results for nulls, empty
-and repeated rows are those of the operators.
+documents; only the last adds columns (shard, slot). Results for nulls, empty and
+very long texts, ties and repeated rows are those of the operators; other columns
+pass through, but ``shard`` and ``slot`` are replaced by the last stage.
 """
 
 from __future__ import annotations
@@ -13,14 +14,11 @@ from pyspark.sql import functions as F
 from stratamart.llm import decontam, mixing, near_dedup, quality, sharding
 from stratamart.llm.common import stored, table
 
-SCORE = "__pipeline_score"
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose quality score is below the threshold."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn(SCORE, quality.score(model, F.col("text")))
-    return scored.filter(F.col(SCORE) >= quality.THRESHOLD).drop(SCORE)
+    return docs.filter(quality.score(model, F.col("text")) >= quality.THRESHOLD)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +37,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns, the shard of each document and its place in the shard."""
-    placed = sharding.shard(docs)
+    """All columns, the shard of each document and its place in the shard.
+
+    Columns ``shard`` and ``slot`` of the documents give way to those of the stage.
+    """
+    placed = sharding.shard(docs.drop("shard", "slot"))
     return placed.withColumnsRenamed({sharding.SHARD: "shard", sharding.SLOT: "slot"})
 
 

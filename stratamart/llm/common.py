@@ -9,8 +9,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows that one cell of ``with_positions`` holds on average at most.
+#: Keys of one cell (``cells``) and rows of one range (``numbered``) on average at most.
 CELL_ROWS = 4096
+RANGE_ROWS = 65536
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,41 +66,45 @@ def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
-def with_positions(
-    df: DataFrame, group: list[str], key: Column, order: list[str], rows: int, name: str
-) -> DataFrame:
-    """Add ``name``: each row's position from 0, gapless within its group.
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
-    Rows of a group are spread over ``side * side`` cells by the MD5 of ``key``;
-    a position is the rows in cells before, plus the place within the cell. No
-    task sees more than a cell's rows or one row of cells, so a group may hold
-    any share of the table. ``group`` columns must not be null. Rows that agree
-    in ``key`` and ``order`` are interchangeable.
-    """
-    side = max(1, math.ceil(math.sqrt(rows / CELL_ROWS)))
-    hi, lo, count, before = (f"__{name}_{x}" for x in ("hi", "lo", "count", "before"))
-    text = F.coalesce(key.cast("string"), F.lit(""))
-    df = df.withColumns(
-        {
-            hi: (part_of_md5(text, 1, 8) % side).cast("int"),
-            lo: (part_of_md5(text, 9, 8) % side).cast("int"),
-        }
-    )
-    cells = df.groupBy(*group, hi, lo).agg(F.count(F.lit(1)).alias(count))
 
-    def earlier(by: list[str], order_by: str) -> Column:
-        window = Window.partitionBy(*by).orderBy(order_by)
-        return F.coalesce(F.sum(count).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+def numbered(rows: DataFrame, group: list[str], order: list[str], name: str, size: str) -> DataFrame:
+    """``rows`` with ``name``, the place from 0 within the group in the given order,
+    and ``size``, the rows of the group.
 
-    upper = cells.groupBy(*group, hi).agg(F.sum(count).alias(count))
-    upper = upper.select(*group, hi, earlier(group, hi).alias(f"{before}_hi"))
-    lower = cells.select(*group, hi, lo, earlier([*group, hi], lo).alias(before))
-    offsets = lower.join(upper, [*group, hi]).select(
-        *group, hi, lo, (F.col(before) + F.col(f"{before}_hi")).alias(before)
+    Rows are dealt in ranges of (group, order), the place is the rows in ranges
+    before plus the place within the range: a group with any share of all rows is
+    spread. ``order`` must end in a column without ties, such as a row number, so
+    that equal rows are spread too. ``rows`` is read twice: store it if it is dear.
+    """
+    part, before = "__range", "__before"
+    ranges = max(1, math.ceil(rows.count() / RANGE_ROWS))
+    dealt = rows.repartitionByRange(ranges, *group, *order)
+    dealt = stored(dealt.withColumn(part, F.spark_partition_id()))
+    counts = dealt.groupBy(*group, part).agg(F.count(F.lit(1)).alias("__rows"))
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        *group,
+        part,
+        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias(before),
+        F.sum("__rows").over(Window.partitionBy(*group)).alias(size),
     )
-    place = F.row_number().over(Window.partitionBy(*group, hi, lo).orderBy(*order))
+    place = F.row_number().over(Window.partitionBy(*group, part).orderBy(*order))
     return (
-        df.join(offsets, [*group, hi, lo])
-        .withColumn(name, (place - 1 + F.col(before)).cast("long"))
-        .drop(hi, lo, before)
+        dealt.join(starts, [*group, part])
+        .withColumn(name, (F.col(before) + place - 1).cast("long"))
+        .drop(part, before)
     )
+
+
+def cells(key: Column, rows: int) -> tuple[Column, Column]:
+    """Two whole numbers of a key that spread keys over about ``rows`` / ``CELL_ROWS`` cells."""
+    side = max(1, math.ceil(math.sqrt(rows / CELL_ROWS)))
+    text = F.coalesce(key.cast("string"), F.lit(""))
+    return tuple((part_of_md5(text, first, 8) % side).cast("int") for first in (1, 9))

@@ -23,21 +23,18 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import crc_of_id, stored, table
+from stratamart.llm.common import crc_of_id, numbered, stored, table
 
 RUN = 3
 #: Levels between two that are kept: an aligned subtree holds 729 nodes.
 KEPT = 6
 SUBTREE = RUN**KEPT
-#: Rows that one range of ``numbered`` holds on average at most.
-RANGE_ROWS = 65536
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "tree string, pos long, route binary, siblings binary, subroot binary"
 
@@ -93,31 +90,6 @@ def fold(digest: bytes, route: bytes, siblings: bytes) -> bytes:
     return digest
 
 
-def numbered(nodes: DataFrame, order: list[str]) -> DataFrame:
-    """``nodes`` with ``pos``, the place in its tree, and ``n``, the tree's size.
-
-    Rows are dealt in ranges of (tree, order), so a tree with any share of all
-    rows is spread; ``order`` must end in a column without ties (``rid``).
-    """
-    ranges = max(1, math.ceil(nodes.count() / RANGE_ROWS))
-    dealt = nodes.repartitionByRange(ranges, "tree", *order)
-    dealt = stored(dealt.withColumn("__range", F.spark_partition_id()))
-    counts = dealt.groupBy("tree", "__range").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.partitionBy("tree").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        "tree",
-        "__range",
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"),
-        F.sum("__rows").over(Window.partitionBy("tree")).alias("n"),
-    )
-    place = F.row_number().over(Window.partitionBy("tree", "__range").orderBy(*order))
-    return (
-        dealt.join(starts, ["tree", "__range"])
-        .withColumn("pos", (F.col("__start") + place - 1).cast("long"))
-        .drop("__range", "__start")
-    )
-
-
 def subtrees(nodes: DataFrame) -> DataFrame:
     """One row per aligned subtree of trees that are not done: tree, n, subtree,
     and its nodes in order."""
@@ -198,11 +170,11 @@ class Manifest:
     def __init__(self, leaves: DataFrame) -> None:
         """``leaves``: tree (source), doc_id, digest and columns to carry; written once."""
         rows = stored(leaves.withColumn("rid", F.monotonically_increasing_id()))
-        placed = numbered(rows, ["doc_id", "digest", "rid"]).drop("rid")
+        placed = numbered(rows, ["tree"], ["doc_id", "digest", "rid"], "pos", "n").drop("rid")
         # Ids travel as text: in tasks, numbers with a null among them become floats.
         self.kept = levels(placed.withColumn("doc_id", F.col("doc_id").cast("string")))
         subroots = roots(self.kept).select(F.lit("").alias("tree"), F.col("tree").alias("source"), "digest")
-        self.sources = levels(numbered(stored(subroots), ["source"]))
+        self.sources = levels(numbered(stored(subroots), ["tree"], ["source"], "pos", "n"))
         root = roots(self.sources).first()
         self.root: bytes | None = None if root is None else bytes(root.digest)
 

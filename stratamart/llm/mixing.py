@@ -6,11 +6,19 @@ in a line within their source, each as long as its expected copies; one random
 offset per source is added, and a document is emitted once per whole number
 that its stretch of the line crosses. The line runs from short to long
 documents (by the leading digits of their size), so the words taken stay within
-about one long document of the target.
+about one long document of the target. Within a size band the order is by cells of the
+doc_id's MD5, whose number grows with the table: a document of a larger table may
+stand elsewhere in the line and be taken though it was not before.
+
+Sizes are computed once and stored with a row number; the plan works on these slim
+rows in ranges of the line, which the row number ends, so neither a source nor a
+doc_id nor a text with any share of all rows gathers in one task. Texts meet their
+copies by row number.
 
 Defined results: a null text has size 0; null sources are one source, the last
 one; empty documents take copies like others but no words; repeated rows are
-separate documents; an empty table gives an empty one; other columns are kept.
+separate documents; an empty table gives an empty one; other columns are kept,
+except that ``mix`` replaces columns named like those it adds.
 """
 
 from __future__ import annotations
@@ -18,13 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import part_of_md5, table, with_positions
+from stratamart.llm.common import cells, fresh, numbered, part_of_md5, stored, table
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
-SIZE, KEY, BAND, PLACE = "__mix_size", "__mix_key", "__mix_band", "__mix_place"
+SIZE, SOURCE_SIZE, TARGET, COPIES = "__mix_size", "__mix_source_size", "__mix_target", "__mix_copies"
+KEY, BAND, HIGH, LOW, PLACE = "key", "band", "high", "low", "place"
 
 
 def words(text: Column) -> Column:
@@ -61,6 +70,36 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     )
 
 
+def plan(
+    rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED
+) -> DataFrame:
+    """(row, doc_id, size, source_size, target, copies) from (row, doc_id, source, size)."""
+    digits = F.col("size").cast("string")
+    high, low = cells(F.col("doc_id"), rows.count())
+    slim = rows.withColumns(
+        {
+            KEY: F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")),
+            BAND: (F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int")).cast("int"),
+            HIGH: high,
+            LOW: low,
+        }
+    )
+    per_source = slim.groupBy(KEY, "source").agg(F.sum("size").alias("source_size"))
+    line = slim.select("row", "doc_id", "size", KEY, BAND, HIGH, LOW)
+    placed = numbered(line, [KEY], [BAND, HIGH, LOW, "size", "doc_id", "row"], PLACE, "rows")
+    offset = part_of_md5(F.concat(F.lit(seed), F.col(KEY)), 1, 13) / F.lit(float(2**52))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    crossed = F.floor(offset + (F.col(PLACE) + 1) * rate) - F.floor(offset + F.col(PLACE) * rate)
+    return placed.join(targets(per_source, weights, cap), KEY).select(
+        "row", "doc_id", "size", "source_size", "target", F.least(crossed, F.lit(cap).cast("long")).alias("copies")
+    )
+
+
+def sized(docs: DataFrame, row: Column, text: str) -> DataFrame:
+    """The slim rows, written once: the texts are counted here and nowhere else."""
+    return stored(docs.select(row.alias("row"), "doc_id", "source", words(F.col(text)).alias("size")))
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
@@ -70,54 +109,35 @@ def mix(
 ) -> DataFrame:
     """All columns of ``docs`` plus ``__mix_size``, ``__mix_source_size``,
     ``__mix_target`` and ``__mix_copies``: how often the mix takes the row."""
-    rows = docs.count()
-    digits = F.col(SIZE).cast("string")
-    sized = docs.withColumns(
-        {SIZE: words(F.col(text)), KEY: F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))}
-    ).withColumn(BAND, (F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int")).cast("int"))
-    bands = sized.groupBy(KEY, F.col("source"), BAND).agg(
-        F.sum(SIZE).alias("source_size"), F.count(F.lit(1)).alias("rows")
-    )
-    in_order = Window.partitionBy(KEY).orderBy(BAND).rowsBetween(Window.unboundedPreceding, -1)
-    starts = bands.select(
-        KEY, BAND, F.coalesce(F.sum("rows").over(in_order), F.lit(0)).alias("__mix_start")
-    )
-    per_source = bands.groupBy(KEY, "source").agg(F.sum("source_size").alias("source_size"))
-    plan = (
-        starts.join(targets(per_source, weights, cap), KEY)
-        .withColumnRenamed("source_size", "__mix_source_size")
-        .withColumnRenamed("target", "__mix_target")
-    )
-    placed = with_positions(sized, [KEY, BAND], F.col("doc_id"), [SIZE, "doc_id"], rows, PLACE)
-    offset = part_of_md5(F.concat(F.lit(seed), F.col(KEY)), 1, 13) / F.lit(float(2**52))
-    rate = F.when(F.col("__mix_source_size") > 0, F.col("__mix_target") / F.col("__mix_source_size")).otherwise(
-        F.lit(0.0)
-    )
-    at = F.col(PLACE) + F.col("__mix_start")
-    crossed = F.floor(offset + (at + 1) * rate) - F.floor(offset + at * rate)
-    copies = F.least(crossed, F.lit(cap).cast("long"))
-    return (
-        placed.join(plan, [KEY, BAND])
-        .withColumn("__mix_copies", copies)
-        .drop(KEY, BAND, PLACE, "__mix_start")
+    docs = docs.drop(SIZE, SOURCE_SIZE, TARGET, COPIES)
+    row = fresh("__mix_row", docs)
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    copies = plan(sized(kept, F.col(row), text), weights, cap, seed).select(
+        F.col("row").alias(row),
+        F.col("size").alias(SIZE),
+        F.col("source_size").alias(SOURCE_SIZE),
+        F.col("target").alias(TARGET),
+        F.col("copies").alias(COPIES),
     )
+    # The slim side is built in memory, so the texts are not sorted.
+    return kept.join(copies.hint("shuffle_hash"), row).drop(row)
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: every row as often as it is taken."""
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies")))
-    kept = mix(docs).filter(F.col("__mix_copies") > 0)
-    return kept.select(*docs.columns, copies.alias("__mix_copy")).select(*docs.columns)
+    """The mix itself: every row as often as it is taken, with its own columns."""
+    row, times = fresh("__mix_row", docs), fresh("__mix_times", docs)
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    taken = plan(sized(kept, F.col(row), "text")).filter("copies > 0")
+    joined = kept.join(taken.select(F.col("row").alias(row), F.col("copies").alias(times)).hint("shuffle_hash"), row)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
+    return joined.select(*docs.columns, again.alias(row)).drop(row)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select(
-        "doc_id",
-        F.col(SIZE).alias("size"),
-        F.col("__mix_source_size").alias("source_size"),
-        F.col("__mix_target").alias("target"),
-        (F.col("__mix_copies") * F.col(SIZE)).alias("taken"),
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return plan(sized(docs, F.monotonically_increasing_id(), "text")).select(
+        "doc_id", "size", "source_size", "target", taken
     )
 
 

@@ -6,7 +6,9 @@ win records for itself, so no record moves between old shards.
 
 Defined results: a null text counts no bytes and has the checksum of the empty
 text; null keys are hashed as the empty text; repeated rows go to one shard and
-get slots of their own; an empty table gives an empty one; other columns stay.
+get slots of their own; an empty table gives an empty one; other columns stay,
+except that ``shard`` replaces columns named like the two that it adds. Slots are
+given in ranges of rows that a row number ends, so a key may hold any share of them.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import part_of_md5, table, with_positions
+from stratamart.llm.common import cells, fresh, numbered, part_of_md5, stored, table
 
 SHARDS = 16
 SHARD, SLOT = "__shard", "__slot"
@@ -34,29 +36,43 @@ def owner(key: Column, weights: Sequence[float]) -> Column:
     return F.array_min(F.array(*[cost(i, w) for i, w in enumerate(weights)])).getField("shard")
 
 
+def slots(rows: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS) -> DataFrame:
+    """``rows`` (row, key, ...), stored, with ``shard`` and ``slot``, the gapless place in it."""
+    high, low = cells(F.col("key"), rows.count() // max(1, len(weights)))
+    placed = rows.withColumns({"shard": owner(F.col("key"), weights), "high": high, "low": low})
+    return numbered(placed, ["shard"], ["high", "low", "key", "row"], "slot", "rows").drop("high", "low", "rows")
+
+
 def shard(docs: DataFrame, key: str = "doc_id", weights: Sequence[float] = (1.0,) * SHARDS) -> DataFrame:
     """``docs`` with ``__shard`` and ``__slot``, the gapless place in the shard."""
-    rows = docs.count() // max(1, len(weights))
-    placed = docs.withColumn(SHARD, owner(F.col(key), weights))
-    return with_positions(placed, [SHARD], F.col(key), [key], rows, SLOT)
+    docs = docs.drop(SHARD, SLOT)
+    row = fresh("__shard_row", docs)
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    placed = slots(kept.select(F.col(row).alias("row"), F.col(key).alias("key")), weights)
+    found = placed.select(F.col("row").alias(row), F.col("shard").alias(SHARD), F.col("slot").alias(SLOT))
+    # The slim side is built in memory, so the texts are not sorted.
+    return kept.join(found.hint("shuffle_hash"), row).drop(row)
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
-    slim = docs.select(
-        "doc_id",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+    slim = stored(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col("doc_id").alias("key"),
+            (F.octet_length(text) + 1).cast("long").alias("size"),
+            F.crc32(text.cast("binary")).alias("text_crc32"),
+        )
     )
-    return shard(slim).select(
-        "doc_id",
+    return slots(slim).select(
+        F.col("key").alias("doc_id"),
         "size",
         "text_crc32",
         F.lit("key").alias("law"),
-        F.col(SHARD).alias("shard"),
-        F.col(SLOT).alias("slot"),
-        owner(F.col("doc_id"), (1.0,) * (SHARDS + 1)).alias("grown_shard"),
+        "shard",
+        "slot",
+        owner(F.col("key"), (1.0,) * (SHARDS + 1)).alias("grown_shard"),
     )
 
 

@@ -1,0 +1,66 @@
+"""A third of all rows, or all, on one id, on none or on one text: largest share of a task."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratamart.llm import common, mixing, sharding
+
+ROWS = 3000
+KEYS = {
+    "one id": "if(id % 3 = 0, 7, id)",
+    "no id": "if(id % 3 = 0, null, id)",
+    "all equal": "1",
+}
+
+
+@pytest.fixture()
+def dealt(monkeypatch):
+    """Rows of each range, of every call of ``numbered``."""
+    monkeypatch.setattr(common, "RANGE_ROWS", 100)
+    seen, store = [], common.stored
+
+    def remember(df):
+        out = store(df)
+        if "__range" in out.columns:
+            seen.append([r["count"] for r in out.groupBy("__range").count().collect()])
+        return out
+
+    monkeypatch.setattr(common, "stored", remember)
+    return seen
+
+
+def documents(spark, name):
+    return spark.range(ROWS).select(
+        F.expr(KEYS[name]).cast("long").alias("doc_id"),
+        F.lit("some words of one text").alias("text"),
+        F.lit("en").alias("lang"),
+        F.lit("hot").alias("source"),
+        F.lit(1).cast("long").alias("n_chars"),
+    )
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_mixing(spark, dealt, name):
+    docs = documents(spark, name)
+    assert mixing.mixed(docs).count() == ROWS  # one source: its target is its size
+    assert max(dealt[0]) < 300
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_sharding(spark, dealt, name):
+    slots = {}
+    for r in sharding.shard(documents(spark, name)).collect():
+        slots.setdefault(r["__shard"], []).append(r["__slot"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert sum(map(len, slots.values())) == ROWS and max(dealt[0]) < 300
+
+
+def test_columns_of_the_operators_names(spark):
+    docs = documents(spark, "one id").limit(20).withColumns(
+        {"__mix_row": F.lit("mine"), "__mix_size": F.lit("mine"), "__shard": F.lit("mine"), "__mix_times": F.lit("mine")}
+    )
+    assert {r["__mix_size"] for r in mixing.mix(docs).collect()} == {5}
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns and {r["__mix_size"] for r in mixed.collect()} == {"mine"}
+    assert {r["__mix_row"] for r in sharding.shard(docs).collect()} == {"mine"}
+    assert "mine" not in {r["__shard"] for r in sharding.shard(docs).collect()}

@@ -5,7 +5,7 @@ import zlib
 
 import pytest
 
-from stratamart.llm import merkle
+from stratamart.llm import common, merkle
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long, tree string, pos long"
 
@@ -105,7 +105,7 @@ def test_subtrees_of_several_kept_levels(spark, tmp_path, monkeypatch):
     """One source holds most rows, a third of them equal; four kept levels of nine nodes each."""
     monkeypatch.setattr(merkle, "KEPT", 2)
     monkeypatch.setattr(merkle, "SUBTREE", 9)
-    monkeypatch.setattr(merkle, "RANGE_ROWS", 64)
+    monkeypatch.setattr(common, "RANGE_ROWS", 64)
     rows = [(i, f"t{i}\n", "en", "hot" if i % 10 else f"s{i % 7}", i, None, None) for i in range(820)]
     rows += [(5, "copy\n", "en", "hot", 1, None, None)] * 400
     rows += [(i, "lone", "en", f"one{i}", 1, None, None) for i in range(30)]

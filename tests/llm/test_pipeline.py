@@ -39,6 +39,16 @@ def test_odd_documents(spark, rows):
     assert docs.count() <= len(rows)
 
 
+def test_documents_with_the_columns_of_the_last_stage(spark):
+    rows = [(1, "a b c", "en", "a", 5, "x", 9), (1, "a b c", "en", "a", 5, "x", 9), (2, None, None, None, None, None, None)]
+    shape = "doc_id long, text string, lang string, source string, n_chars long, shard string, SLOT long"
+    docs = spark.createDataFrame(rows, shape)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        docs = stored(stage(spark, docs, SMALL))
+    assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "slot"]
+    assert dict(docs.dtypes)["shard"] == "int" and docs.count() >= 1
+
+
 def test_entry_lists_the_operators():
     import __spark_entry__ as entry
 
