@@ -24,11 +24,14 @@ pieces; other columns are ignored; the last sequence may be shorter than the res
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
+import string
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -47,9 +50,8 @@ SEED = 11
 UNIT = 1 << 16
 #: Rows of one range of the order at most on average; distinct words that a task remembers.
 RANGE_ROWS = 65536
-WORDS_KEPT = 500_000
+WORDS_KEPT = 1_000_000
 IDS_AT_ONCE = 1_000_000
-SPACE = re.compile(r"[ \t\n\r]+")
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -59,27 +61,79 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: What a vocabulary must do before its merges for ``Encoder`` to work word by word
+#: (fixed values of the published vocabulary).
+NORMAL = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: Letters that are composed already and have one lower-case letter.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f]+")
+
+
 class Encoder:
-    """Ids of whole texts, as bytes of ``dtype``, by words that are encoded once."""
+    """Ids of whole texts, as bytes of ``dtype``.
+
+    A vocabulary of the known kind drops white space and never looks across it, so
+    words are encoded once each and remembered. Its normal form and split do no more
+    to a word of composed Latin letters than lower case: such a word goes to the merges
+    directly, and ASCII marks after it are a word of their own. Others take the whole way.
+    """
 
     def __init__(self, vocabulary: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(vocabulary)
         small = max(self.tokenizer.get_vocab_size(), END + 1) <= 1 << 16
         self.dtype = np.dtype("<u2" if small else "<u4")
-        self.words: dict[str, bytes] = {}
+        self.code = "H" if small else "I"
+        self.end = array(self.code, [END]).tobytes()
+        parts = json.loads(vocabulary)
+        normal = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        split = [n.get("pattern", {}).get("Regex") for n in (parts["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_words = normal == NORMAL and split == [SPLIT, None]
+        self.merges = self.tokenizer.model
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        letters = filter(LATIN.fullmatch, map(chr, range(0xC0, 0x180)))
+        self.spelled = str.maketrans({c: as_bytes(c)[0][0] for c in letters})
+        self.words: dict[str, bytes] = {"": b""}
+
+    def learn(self, words: Iterable[str]) -> None:
+        others, tails = [], {}
+        for word in words:
+            bare = word.rstrip(string.punctuation)
+            if LATIN.fullmatch(bare):
+                known = self.words.get(bare)
+                if known is None:
+                    spelled = bare.lower().translate(self.spelled)
+                    ids = [piece.id for piece in self.merges.tokenize(spelled)]
+                    known = self.words[bare] = array(self.code, ids).tobytes()
+                if len(bare) < len(word):
+                    tails[word] = known, word[len(bare) :]
+            else:
+                others.append(word)
+        others += {tail for _, tail in tails.values()}.difference(self.words)
+        if others:
+            found = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype)
+            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(others) + 1)).tolist()
+            for i, word in enumerate(others):
+                self.words[word] = ids[ends[i] : ends[i + 1]].tobytes()
+        for word, (known, tail) in tails.items():
+            self.words[word] = known + self.words[tail]
 
     def encode(self, text: str | None) -> bytes:
-        words = SPACE.split(text or "")
-        new = set(words).difference(self.words)
-        if new and len(self.words) + len(new) > WORDS_KEPT:
-            self.words, new = {}, set(words)
-        listed = list(new)
-        for word, ids in zip(listed, self.tokenizer.encode_batch(listed, add_special_tokens=False)):
-            self.words[word] = np.array(ids.ids, self.dtype).tobytes()
-        return b"".join(map(self.words.__getitem__, words)) + np.array([END], self.dtype).tobytes()
+        if not self.by_words:
+            return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, self.dtype).tobytes() + self.end
+        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        found = list(map(self.words.get, words))
+        new = {word for word, ids in zip(words, found) if ids is None}
+        if new:
+            if len(self.words) + len(new) > WORDS_KEPT:
+                self.words, new = {"": b""}, {w for w in words if w}
+            self.learn(new)
+            found = map(self.words.__getitem__, words)
+        return b"".join(found) + self.end
 
 
 class Projection:

@@ -61,6 +61,36 @@ def test_odd_rows(spark, rows):
     check_layout(packing.pack(spark.createDataFrame(rows, SHAPE)).collect(), rows)
 
 
+HARD = [
+    *["it's", "IT'S", "''s", "don't!", "'tis", "rock'n'roll", "x<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext|>.", "end</w>"],
+    *["foo),", "a.b.c...", "12,5", "3rd", "№5", "ÀÉÎ", "École.", "Éé\u0301", "e\u0301cole", "\u0301x", "İI", "ŉx", "ſet"],
+    *["Ÿes", "ß", "ẞ", "ΣΑΣ", "naïve-té", "日本語。", "a\u00a0b", "a\u2028b", "\x1c!\x1c", "a\x0bb", "\u200dx", "ﬁn", "Ǆ", "😀!", "--", "a_b_"],
+]
+
+
+def test_words_as_the_tokenizer_has_them():
+    with open(packing.vocabulary_path(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    assert encoder.by_words
+    texts = [*HARD, " ".join(HARD), "\n".join(HARD), "\t\r\n".join(w + "..." for w in HARD), "".join(HARD)]
+    letters = [chr(c) for c in range(0xC0, 0x180)]
+    texts += [" ".join(c + "a" + c for c in letters), " ".join(c + "!" for c in letters)]
+    for text, ids in zip(texts, expected_ids(texts)):
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == ids, text
+
+
+def test_another_vocabulary_takes_whole_texts():
+    from tokenizers import Tokenizer
+
+    with open(packing.vocabulary_path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = file.read()
+    encoder, plain = packing.Encoder(vocabulary), Tokenizer.from_str(vocabulary)
+    assert not encoder.by_words
+    for text in HARD:
+        got = np.frombuffer(encoder.encode(text), encoder.dtype).tolist()
+        assert got == [*plain.encode(text, add_special_tokens=False).ids, packing.END]
+
+
 def test_whole_table_with_a_hot_text(spark, monkeypatch):
     """Copies of one text are spread over ranges by their row number."""
     monkeypatch.setattr(packing, "RANGE_ROWS", 50)
