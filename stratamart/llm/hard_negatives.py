@@ -51,9 +51,8 @@ RESULT = "anchor_id long, positive_id long, rank int, negative_id long, positive
 NO_ID = np.iinfo(np.int64).max
 PACKED = "cell int, ids binary, unnamed binary, pack_labels binary, pack_rids binary, xs binary"
 ANCHORS = "vec_id long, label int, rid long, x binary, pivot int"
-POSITIVE = "anchor long, rid long, vec_id long, unnamed boolean, score long"
 BLOCKS = "block string, rids binary, labels binary, vectors binary, tree binary, edges binary"
-FOUND = "anchor long, positive int, vec_id long, unnamed boolean, score long"
+FOUND = "anchor long, positive int, rid long, vec_id long, unnamed boolean, score long"
 
 
 def spanning_tree(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,11 +73,22 @@ def spanning_tree(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(order), parent, edge
 
 
-def products(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Scores of the vectors ``a`` with the rows of ``x``, in whole numbers."""
-    if float(np.abs(a).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(x.shape[1], 1) < EXACT:
-        return (a.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
-    return a @ x.T
+class Vectors:
+    """Whole-number vectors and the same as floating point numbers, made once."""
+
+    def __init__(self, buffer: bytes, dims: int) -> None:
+        self.whole = np.frombuffer(buffer, np.int64).reshape(-1, dims)
+        self.floats = self.whole.astype(np.float64)
+        self.largest = float(np.abs(self.floats).max(initial=0))
+
+    def scores(self, other: Vectors, mine: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Products of the vectors ``mine`` with the rows ``at`` of ``other``, in whole
+        numbers: by floating point where no sum of products can be rounded."""
+        if self.largest * other.largest * max(self.whole.shape[1], 1) >= EXACT:
+            return self.whole[mine] @ other.whole[at].T
+        if 4 * len(at) > len(other.whole):  # a copy of so many rows costs more than their products
+            return (self.floats[mine] @ other.floats.T)[:, at].astype(np.int64)
+        return (self.floats[mine] @ other.floats[at].T).astype(np.int64)
 
 
 def best(scores: np.ndarray, ids: np.ndarray, unnamed: np.ndarray, top: int) -> np.ndarray:
@@ -97,9 +107,9 @@ class Pack:
         self.unnamed = np.frombuffer(row.unnamed, np.bool_)
         self.labels = np.frombuffer(row.pack_labels, np.int32)
         self.rids = np.frombuffer(row.pack_rids, np.int64)
-        self.x = np.frombuffer(row.xs, np.int64).reshape(-1, dims)
+        self.x = Vectors(row.xs, dims)
         # Widened, so that a rounded bound is never too narrow.
-        self.norms = np.sqrt((self.x.astype(np.float64) ** 2).sum(1)) * (1 + 1e-6)
+        self.norms = np.sqrt((self.x.floats**2).sum(1)) * (1 + 1e-6)
 
 
 class Block:
@@ -108,16 +118,25 @@ class Block:
     def __init__(self, row, dims: int) -> None:
         self.rids = np.frombuffer(row.rids, np.int64)
         self.labels = np.frombuffer(row.labels, np.int32)
-        self.x = np.frombuffer(row.vectors, np.int64).reshape(-1, dims)
+        self.x = Vectors(row.vectors, dims)
         order, parent = np.frombuffer(row.tree, np.int64).reshape(2, -1)
         self.tree = order, parent, np.frombuffer(row.edges, np.float64)
 
 
+def stretch(windows: list[tuple[int, int, int]]) -> tuple[float, float]:
+    held = [(low, high) for _, low, high in windows if low <= high]
+    return (min(w[0] for w in held), max(w[1] for w in held)) if held else (np.inf, -np.inf)
+
+
 def candidates(
     pack: Pack, block: Block, wanted: list[list[tuple[int, int, int]]]
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """Every anchor along the tree with rows of other labels and their scores, all rows
-    within its windows ``wanted`` (positive, low, high) among them, and how many were scored."""
+    within its windows ``wanted`` (positive, low, high) among them, and how many were scored.
+
+    The windows of one anchor overlap or lie close, so the bounds are held against
+    the stretch from the lowest to the highest of them.
+    """
     order, parent, edge = block.tree
     lower: dict[int, np.ndarray] = {}
     upper: dict[int, np.ndarray] = {}
@@ -130,22 +149,21 @@ def candidates(
         else:
             reach = edge[a] * pack.norms
             least, most = lower[up] - reach, upper[up] + reach
-            doubt = np.zeros(len(least), bool)
-            for _, low, high in wanted[a]:
-                doubt |= (most >= low) & (least <= high)
-            doubt &= pack.labels != block.labels[a]
+            low, high = stretch(wanted[a])
+            doubt = (most >= low) & (least <= high) & (pack.labels != block.labels[a])
             children[up] -= 1
             if not children[up]:
                 del lower[up], upper[up]
         at = np.flatnonzero(doubt)
-        scores = products(block.x[a : a + 1], pack.x[at])[0]
+        scores = block.x.scores(pack.x, np.array([a]), at)[0]
         if children[a]:
             # A whole number beyond 2 ** 53 is rounded: one part in 10 ** 15 and 1 cover it.
             slack = np.abs(scores) * 1e-15 + 1
             least[at], most[at] = scores - slack, scores + slack
             lower[a], upper[a] = least, most
-        other = pack.labels[at] != block.labels[a]
-        yield a, at[other], scores[other], len(at)
+        low, high = stretch(wanted[a])
+        fits = (scores >= low) & (scores <= high) & (pack.labels[at] != block.labels[a])
+        yield a, at[fits], scores[fits], len(at)
 
 
 def pack_rows(dims: int) -> int:
@@ -217,11 +235,23 @@ def meet(blocks: DataFrame, packs: DataFrame, cells: Column) -> DataFrame:
     return asked.join(packs.hint("shuffle_hash"), "cell").drop("cell")
 
 
-def found_rows(anchor: int, positive: int | None, pack: Pack, at: np.ndarray, scores: np.ndarray, top: int) -> pd.DataFrame:
-    kept = best(scores, pack.ids[at], pack.unnamed[at], top)
-    at = at[kept]
-    out = {"anchor": anchor, "vec_id": pack.ids[at], "unnamed": pack.unnamed[at], "score": scores[kept]}
-    return pd.DataFrame(out | ({"rid": pack.rids[at]} if positive is None else {"positive": positive}))
+class Found:
+    """The best rows of anchors, gathered for one table per batch."""
+
+    def __init__(self, top: int) -> None:
+        self.top, self.parts = top, []
+
+    def add(self, anchor: int, positive: int, pack: Pack, at: np.ndarray, scores: np.ndarray) -> None:
+        kept = best(scores, pack.ids[at], pack.unnamed[at], self.top)
+        at = at[kept]
+        named = np.full(len(at), anchor), np.full(len(at), positive, np.int32)
+        self.parts.append((*named, pack.rids[at], pack.ids[at], pack.unnamed[at], scores[kept]))
+
+    def table(self) -> pd.DataFrame:
+        columns = [c.split()[0] for c in FOUND.split(", ")]
+        if not self.parts:
+            return pd.DataFrame(columns=columns)
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(columns, zip(*self.parts))})
 
 
 def first_in(df: DataFrame, by: list[str], ties: list[str], top: int, name: str) -> DataFrame:
@@ -234,17 +264,19 @@ def positives(pairs: DataFrame, dims: int, count: int) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = Found(count)
             for row in batch.itertuples(index=False):
                 pack, block = Pack(row, dims), Block(row, dims)
                 for label in np.intersect1d(pack.labels, block.labels):
                     at = np.flatnonzero(pack.labels == label)
                     mine = np.flatnonzero(block.labels == label)
-                    scores = products(block.x[mine], pack.x[at])
-                    for a, s in zip(mine, scores):
+                    for a, scores in zip(mine, block.x.scores(pack.x, mine, at)):
                         other = pack.rids[at] != block.rids[a]
-                        yield found_rows(block.rids[a], None, pack, at[other], s[other], count)
+                        found.add(block.rids[a], 0, pack, at[other], scores[other])
+            yield found.table()
 
-    return first_in(pairs.mapInPandas(score, POSITIVE), ["anchor"], ["rid"], count, "positive").drop("rid")
+    found = pairs.mapInPandas(score, FOUND).drop("positive")
+    return first_in(found, ["anchor"], ["rid"], count, "positive").drop("rid")
 
 
 def in_windows(pairs: DataFrame, dims: int, top: int) -> DataFrame:
@@ -252,6 +284,7 @@ def in_windows(pairs: DataFrame, dims: int, top: int) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            found = Found(top)
             for row in batch.itertuples(index=False):
                 pack, block = Pack(row, dims), Block(row, dims)
                 at = {rid: i for i, rid in enumerate(block.rids.tolist())}
@@ -262,9 +295,11 @@ def in_windows(pairs: DataFrame, dims: int, top: int) -> DataFrame:
                     for positive, low, high in wanted[a]:
                         inside = (scores >= low) & (scores <= high)
                         if inside.any():
-                            yield found_rows(block.rids[a], positive, pack, rows[inside], scores[inside], top)
+                            found.add(block.rids[a], positive, pack, rows[inside], scores[inside])
+            yield found.table()
 
-    return first_in(pairs.mapInPandas(score, FOUND), ["anchor", "positive"], [], top, "rank")
+    found = pairs.mapInPandas(score, FOUND).drop("rid")
+    return first_in(found, ["anchor", "positive"], [], top, "rank")
 
 
 def hard_negatives(
