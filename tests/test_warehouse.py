@@ -12,10 +12,11 @@ from stratamart.plans.contracts import PUBLISHED_COLUMNS, Contract
 from stratamart.plans.ods import INGESTS, one_day
 from stratamart.queries import CUTOFF, Layers
 from stratamart.schemas import TABLES
+from stratamart.sinks import tables as sinks
 from stratamart.sinks.results import FolderResultStore, publish
 from stratamart.sinks.tables import replace_day, write_partition
 from stratamart.sources import jdbc, tables
-from stratamart.storage import list_names
+from stratamart.storage import list_names, names_in
 
 ODS_VIEWS = {
     "ods.ods_order_info_di": "ods_order",
@@ -66,10 +67,85 @@ def test_broken_result_leaves_the_partition_as_it_was(spark, warehouse):
     assert stored(spark, "20200103") == [(1, 5)]
 
 
-def test_staging_leaves_nothing_behind(spark, warehouse):
-    folder = spark.conf.get("spark.checkpoint.dir")
+def versions(spark, ds):
+    return names_in(spark, f"{tables.base_of(spark, NAME)}/{tables.VERSIONS}/{ds}")
+
+
+def test_a_failed_result_leaves_no_version_behind(spark, warehouse):
     write_partition(ratings(spark, f.rating(1)), NAME, "20200104", None)
-    assert list_names(spark, f"{folder}/staging/{NAME}") == []
+    kept = versions(spark, "20200104")
+    with pytest.raises(DataQualityError, match="repeated_keys"):
+        write_partition(ratings(spark, f.rating(5), f.rating(5)), NAME, "20200104",
+                        Contract(NAME, ("rating_id",)))
+    assert versions(spark, "20200104") == kept and len(kept) == 1
+
+
+def test_a_swap_keeps_the_version_before_and_no_older(spark, warehouse):
+    seen = []
+    for score in range(1, 5):
+        write_partition(ratings(spark, f.rating(1, score=score)), NAME, "20200108", None)
+        seen.append(tables.current_path(spark, NAME, "20200108").rsplit("/", 1)[1])
+    assert versions(spark, "20200108") == sorted(seen[-2:])
+    assert stored(spark, "20200108") == [(1, 4)]
+
+
+def test_a_running_query_reads_the_version_it_began_with(spark, warehouse):
+    write_partition(ratings(spark, f.rating(1, score=1)), NAME, "20200109", None)
+    begun = tables.read_partition(spark, NAME, "20200109")
+    begun._jdf.queryExecution().executedPlan()
+    write_partition(ratings(spark, f.rating(1, score=2)), NAME, "20200109", None)
+    assert [r.shop_score for r in begun.collect()] == [1]
+    assert stored(spark, "20200109") == [(1, 2)]
+
+
+def test_a_failure_between_staging_and_swap_keeps_the_old_rows(spark, warehouse, monkeypatch):
+    write_partition(ratings(spark, f.rating(1)), NAME, "20200110", None)
+    events = "ods.ods_user_behavior_di"
+    event = spark.createDataFrame([f.event()], f.BEHAVIOR).drop("ds")
+    write_partition(event, events, "20200110", None)
+    moved, real = [], sinks.point
+
+    def lost(spark, name, ds, path):
+        if name == events and not moved:
+            moved.append(path)
+            raise RuntimeError("catalog lost")
+        real(spark, name, ds, path)
+
+    monkeypatch.setattr(sinks, "point", lost)
+    frames = {NAME: ratings(spark, f.rating(2)), events: event}
+    before = versions(spark, "20200110")
+    with pytest.raises(RuntimeError, match="catalog lost"):
+        replace_day(frames, "20200110")
+    assert moved and stored(spark, "20200110") == [(1, 5)]
+    assert tables.read_partition(spark, events, "20200110").count() == 1
+    assert versions(spark, "20200110") == before
+    # The markers agree with the catalog: a new session finds the same rows.
+    spark.sql(f"DROP TABLE {NAME}")
+    tables.create_all(spark, warehouse)
+    assert stored(spark, "20200110") == [(1, 5)]
+    replace_day(frames, "20200110")
+    assert stored(spark, "20200110") == [(2, 5)]
+
+
+def test_many_small_files_become_few(spark, warehouse):
+    many = spark.range(40).repartition(40).selectExpr(
+        "id as rating_id", "id as order_id", "1L as shop_id", "cast(1 as tinyint) as shop_score",
+        "timestamp'2020-01-11 00:00:00' as rating_time")
+    assert write_partition(many, NAME, "20200111", None) == 40
+    files = [n for n in list_names(spark, tables.current_path(spark, NAME, "20200111")) if n.endswith(".orc")]
+    assert len(files) == 1 and len(versions(spark, "20200111")) == 1
+
+
+def test_whole_tables_swap_too(spark, warehouse):
+    shop = "cdm.dim_shop_df"
+    for n in (1, 2, 3):
+        rows = spark.range(n).selectExpr("id as shop_id", "'a' as shop_name", "'b' as province_name",
+                                         "timestamp'2020-01-01 00:00:00' as open_time", "1 as status")
+        assert sinks.write_whole(rows, shop) == n
+        assert spark.table(shop).count() == n
+    spark.sql(f"DROP TABLE {shop}")
+    tables.create_all(spark, warehouse)
+    assert spark.table(shop).count() == 3
 
 
 def test_guards(spark, warehouse):
