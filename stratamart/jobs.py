@@ -9,10 +9,11 @@ import argparse
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bizdate import parse_ds
 from .errors import DataQualityError
-from .plans import ads, contracts, dim, dwd, dws
+from .plans import ads, audit, contracts, dim, dwd, dws
 from .plans.ods import INGESTS, one_day
 from .sinks.results import JdbcResultStore, ResultStore, publish
 from .sinks.tables import replace_day, write_partition, write_whole
@@ -45,15 +46,31 @@ def require_no_facts(facts: dict[str, DataFrame]) -> None:
         raise DataQualityError(f"dimensions are frozen, facts exist in {filled}")
 
 
-def load_day(spark: SparkSession, read: SourceReader, ds: str) -> dict[str, int]:
+def load_day(
+    spark: SparkSession,
+    read: SourceReader,
+    ds: str,
+    *,
+    audited: bool = False,
+    announced: dict[tuple[str, str], DataFrame] | None = None,
+) -> dict[str, int]:
     """Replace one day of all five increments and reconcile the row counts.
 
-    The source is read once, into staging; what was read is compared with what
-    the table holds afterwards. A second count in a live database could differ
-    from the first without anything being wrong.
+    The source is read once, into versions that nobody sees yet. With
+    ``audited``, the rules of single rows are counted while these are written,
+    the rules between facts on what was written, and a broken rule leaves every
+    table as it was. What was read is compared with what the table holds
+    afterwards.
     """
+    by_target = {i.target: i.source for i in INGESTS}
+    measures = {t: audit.row_measures(s, F.lit(ds)) for t, s in by_target.items()} if audited else None
+
+    def check(staged: dict[str, DataFrame], seen: dict[str, dict]) -> None:
+        facts = {by_target[t]: rows for t, rows in staged.items()}
+        _audit(spark, facts, {by_target[t]: found for t, found in seen.items()}, announced)
+
     read_rows = replace_day(
-        {i.target: one_day(read(i.source), i, ds) for i in INGESTS}, ds
+        {i.target: one_day(read(i.source), i, ds) for i in INGESTS}, ds, measures, check if audited else None
     )
     for table, rows in read_rows.items():
         stored = read_partition(spark, table, ds).count()
@@ -62,6 +79,32 @@ def load_day(spark: SparkSession, read: SourceReader, ds: str) -> dict[str, int]
     return read_rows
 
 
+def _audit(
+    spark: SparkSession,
+    facts: dict[str, DataFrame],
+    seen: dict[str, dict],
+    announced: dict[tuple[str, str], DataFrame] | None,
+) -> dict[tuple[str, str], int]:
+    facts = facts | {"shop_info": spark.table("cdm.dim_shop_df"), "sku_info": spark.table("cdm.dim_sku_df")}
+    counts = {(fact, rule): n for fact, found in seen.items() for rule, n in found.items() if rule != "row_count"}
+    # A few dozen rows: one per rule.
+    counts |= {(r.fact, r.rule): r.rows for r in audit.cross_report(facts).collect()}
+    audit.gate(counts, facts, announced)
+    return counts
+
+
+def audit_day(
+    spark: SparkSession, ds: str, announced: dict[tuple[str, str], DataFrame] | None = None
+) -> dict[tuple[str, str], int]:
+    """Audit one stored day of all five facts; raises if a rule is broken."""
+    _needs(spark, ds, *[i.target for i in INGESTS])
+    facts = {i.source: read_partition(spark, i.target, ds) for i in INGESTS}
+    seen = {
+        name: rows.agg(*audit.row_measures(name, F.lit(ds))).first().asDict() for name, rows in facts.items()
+    }
+    return _audit(spark, facts, seen, announced)
+
+
 # ---- snapshots, aggregates, results ----------------------------------------
 
 def _needs(spark: SparkSession, ds: str, *tables: str) -> None:
@@ -175,13 +218,15 @@ def run_layers(spark: SparkSession, ds: str) -> dict[str, int]:
 def main(argv: list[str] | None = None) -> None:
     from .session import session
 
-    names = ["dimensions", "increments", *LAYER_JOBS, *PUBLISH_JOBS, "layers"]
+    names = ["dimensions", "increments", "audit", *LAYER_JOBS, *PUBLISH_JOBS, "layers"]
     parser = argparse.ArgumentParser(prog="stratamart.jobs")
     parser.add_argument("job", choices=names)
     parser.add_argument("--ds", required=True, help="business date, yyyyMMdd")
     parser.add_argument("--root", required=True, help="folder of the warehouse tables")
     parser.add_argument("--first-load", action="store_true",
                         help="dimensions: refuse when increments exist")
+    parser.add_argument("--audited", action="store_true",
+                        help="increments: a broken rule leaves the tables as they were")
     parser.add_argument("--slices", type=int, default=24, help="parallel reads per day")
     args = parser.parse_args(argv)
     parse_ds(args.ds)
@@ -203,7 +248,11 @@ def main(argv: list[str] | None = None) -> None:
                 spark,
                 lambda t: jdbc.read_day(spark, db, by_source[t], args.ds, args.slices),
                 args.ds,
+                audited=args.audited,
             )
+        elif args.job == "audit":
+            for (fact, rule), rows in sorted(audit_day(spark, args.ds).items()):
+                print(fact, rule, rows)
         elif args.job in PUBLISH_JOBS:
             store = JdbcResultStore(spark, jdbc.Endpoint.from_env("RESULT_DB"))
             publish_result(spark, args.ds, PUBLISH_JOBS[args.job], store)

@@ -18,7 +18,7 @@ from .operators.compare import reconcile, set_difference
 from .operators.dedup import repeated_keys
 from .operators.periods import Periods, period_rows
 from .operators.quality import broken_rows, profile
-from .plans import ads, contracts, dim, dwd, dws
+from .plans import ads, audit, contracts, dim, dwd, dws
 from .plans.ods import INGESTS, one_day
 from .sinks.results import publishable
 from .sources.star_adapter import StarAdapter
@@ -286,6 +286,22 @@ def _reconcile(w: Layers) -> DataFrame:
     return reconcile(source, w.src.ods_order, "ds")
 
 
+def _audit_summary(w: Layers) -> DataFrame:
+    """All gate rules over the audit views; a row's day is that of its first time."""
+    s = w.src
+    facts = {
+        "shop_info": s.shop_info,
+        "sku_info": s.sku_info,
+        "order_info": s.audit_order,
+        "order_detail": s.audit_detail,
+        "payment_info": s.audit_payment,
+        "user_behavior": s.audit_behavior,
+        "rating_info": s.rating_info,
+    }
+    days = {fact: temporal.ds_of(F.col(times[0])) for fact, times in audit.TIMES.items()}
+    return audit.report(facts, days)
+
+
 def _parsed(topic: str) -> Callable[[Layers], DataFrame]:
     return lambda w: messages.parse(w.log(), topic)
 
@@ -392,6 +408,7 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "outside_day": lambda w: audits.outside_day(
         w.src.ods_order, ["create_time", "update_time"], F.col("ds")
     ).select("order_id", "create_time", "update_time", "ds"),
+    "audit_summary": _audit_summary,
     # quality rules
     "dq_nulls": _dq_nulls,
     "dq_ranges": _dq_ranges,
