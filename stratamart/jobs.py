@@ -15,10 +15,11 @@ from .bizdate import parse_ds
 from .errors import DataQualityError
 from .plans import ads, audit, contracts, dim, dwd, dws
 from .plans.ods import INGESTS, one_day
+from .sinks import states
 from .sinks.results import JdbcResultStore, ResultStore, publish
 from .sinks.tables import replace_day, write_partition, write_whole
 from .sources import jdbc
-from .sources.tables import create_all, read_history, read_partition, require_partition
+from .sources.tables import create_all, read_partition, require_partition
 
 SourceReader = Callable[[str], DataFrame]
 
@@ -66,11 +67,14 @@ def load_day(
     measures = {t: audit.row_measures(s, F.lit(ds)) for t, s in by_target.items()} if audited else None
 
     def check(staged: dict[str, DataFrame], seen: dict[str, dict]) -> None:
-        facts = {by_target[t]: rows for t, rows in staged.items()}
-        _audit(spark, facts, {by_target[t]: found for t, found in seen.items()}, announced)
+        if audited:
+            facts = {by_target[t]: rows for t, rows in staged.items()}
+            _audit(spark, facts, {by_target[t]: found for t, found in seen.items()}, announced)
+        for table in by_target:  # before the swap: a state must not outlive what it has read
+            states.forget(spark, table, ds)
 
     read_rows = replace_day(
-        {i.target: one_day(read(i.source), i, ds) for i in INGESTS}, ds, measures, check if audited else None
+        {i.target: one_day(read(i.source), i, ds) for i in INGESTS}, ds, measures, check
     )
     for table, rows in read_rows.items():
         stored = read_partition(spark, table, ds).count()
@@ -115,36 +119,39 @@ def _needs(spark: SparkSession, ds: str, *tables: str) -> None:
 def trade(spark: SparkSession, ds: str) -> int:
     sources = ("ods.ods_order_info_di", "ods.ods_order_detail_di", "ods.ods_payment_info_di")
     _needs(spark, ds, *sources)
-    orders, details, payments = (read_history(spark, t, ds) for t in sources)
-    lines = dwd.trade(orders, details, payments, spark.table("cdm.dim_sku_df"), ds)
+    orders, details, payments = (
+        states.newest(spark, s, ds) for s in (states.ORDERS, states.DETAILS, states.PAYMENTS)
+    )
+    lines = dwd.trade_of(orders, details, payments, spark.table("cdm.dim_sku_df"))
     rows = write_partition(lines, "cdm.dwd_trd_pay_dtl_df", ds, contracts.TRADE)
     written = read_partition(spark, "cdm.dwd_trd_pay_dtl_df", ds)
-    print(dwd.cleaning_summary(payments, written, ds).first().asDict())
+    candidates = states.newest(spark, states.CANDIDATES, ds).agg(F.count("order_id").alias("order_count"))
+    print(dwd.cleaning_summary_of(candidates, written).first().asDict())
     return rows
 
 
 def behavior(spark: SparkSession, ds: str) -> int:
     _needs(spark, ds, "ods.ods_user_behavior_di")
-    events = read_history(spark, "ods.ods_user_behavior_di", ds)
-    rows = dwd.behavior(events, spark.table("cdm.dim_sku_df"), ds)
+    events = states.newest(spark, states.EVENTS, ds)
+    rows = dwd.behavior_of(events, spark.table("cdm.dim_sku_df"))
     return write_partition(rows, "cdm.dwd_user_behavior_df", ds, contracts.BEHAVIOR)
 
 
 def rating(spark: SparkSession, ds: str) -> int:
     _needs(spark, ds, "ods.ods_rating_info_di", "cdm.dwd_trd_pay_dtl_df")
-    ratings = read_history(spark, "ods.ods_rating_info_di", ds)
+    ratings = states.newest(spark, states.RATINGS, ds)
     lines = read_partition(spark, "cdm.dwd_trd_pay_dtl_df", ds)
-    rows = dwd.rating(ratings, lines, ds)
+    rows = dwd.rating_of(ratings, lines)
     return write_partition(rows, "cdm.dwd_shop_rating_df", ds, contracts.RATING)
 
 
 def site(spark: SparkSession, ds: str) -> int:
     _needs(spark, ds, "cdm.dwd_user_behavior_df", "cdm.dwd_trd_pay_dtl_df",
            "ods.ods_order_info_di")
-    rows = dws.site_stats(
+    rows = dws.site_stats_of(
         read_partition(spark, "cdm.dwd_user_behavior_df", ds),
         read_partition(spark, "cdm.dwd_trd_pay_dtl_df", ds),
-        read_history(spark, "ods.ods_order_info_di", ds),
+        states.newest(spark, states.ORDERS, ds),
         ds,
     )
     return write_partition(rows, "cdm.dws_site_stats_df", ds, contracts.SITE)

@@ -46,15 +46,19 @@ def site_traffic(behavior: DataFrame, ds: str) -> DataFrame:
     )
 
 
-def site_orders(orders: DataFrame, ds: str) -> DataFrame:
-    """Created orders per period, all statuses, by the newest version of each."""
-    periods = Periods(ds)
-    newest = latest_by(
+def newest_creation(orders: DataFrame, ds: str) -> DataFrame:
+    """Creation time of each order by its newest version."""
+    return latest_by(
         history(orders, ds).select("order_id", "create_time", "update_time", "ds"),
         ["order_id"],
         ["update_time", "ds"],
         ["create_time"],
     )
+
+
+def site_orders(newest: DataFrame, ds: str) -> DataFrame:
+    """Created orders per period, all statuses; one row per order is given."""
+    periods = Periods(ds)
     created = newest.where(F.col("order_id").isNotNull()).withColumn(
         "order_date", day_of(F.col("create_time"))
     )
@@ -110,14 +114,21 @@ def site_payments(trade_lines: DataFrame, ds: str) -> DataFrame:
 def site_stats(
     behavior: DataFrame, trade_lines: DataFrame, orders: DataFrame, ds: str
 ) -> DataFrame:
-    """Nine metrics for each of the four periods; empty periods give zeros.
+    """Nine metrics for each of the four periods, from the whole history of orders."""
+    return site_stats_of(behavior, trade_lines, newest_creation(orders, ds), ds)
+
+
+def site_stats_of(
+    behavior: DataFrame, trade_lines: DataFrame, newest_orders: DataFrame, ds: str
+) -> DataFrame:
+    """The same from the newest row of each order; empty periods give zeros.
 
     Each input shrinks to four rows before anything is joined.
     """
     periods = Periods(ds).table(behavior.sparkSession).select("stat_period")
     joined = (
         periods.join(site_traffic(behavior, ds), "stat_period", "left")
-        .join(site_orders(orders, ds), "stat_period", "left")
+        .join(site_orders(newest_orders, ds), "stat_period", "left")
         .join(site_payments(trade_lines, ds), "stat_period", "left")
     )
     return joined.select(*columns_of("cdm.dws_site_stats_df"))

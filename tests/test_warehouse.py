@@ -31,7 +31,10 @@ ODS_VIEWS = {
 def warehouse(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("root"))
     tables.create_all(spark, root)
-    return root
+    yield root
+    for table in TABLES:
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql("DROP DATABASE IF EXISTS state CASCADE")
 
 
 def ratings(spark, *rows):
