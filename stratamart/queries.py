@@ -7,6 +7,7 @@ DataFrame without running it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,12 @@ from .functions.money import money
 from .operators import audits
 from .operators.compare import reconcile, set_difference
 from .operators.dedup import repeated_keys
+from .operators.fingerprint import differences, fingerprint
 from .operators.periods import Periods, period_rows
 from .operators.quality import broken_rows, profile
 from .plans import ads, audit, contracts, dim, dwd, dws
 from .plans.ods import INGESTS, one_day
+from .schemas import TABLES
 from .sinks.results import publishable
 from .sources.star_adapter import StarAdapter
 from .streaming import contract, messages
@@ -302,6 +305,20 @@ def _audit_summary(w: Layers) -> DataFrame:
     return audit.report(facts, days)
 
 
+def _fingerprints(w: Layers) -> DataFrame:
+    """Fingerprints of each fact and day at the source and in the increments."""
+    s, parts = w.src, []
+    views = {"order_info": s.ods_order, "order_detail": s.ods_detail, "payment_info": s.ods_payment,
+             "user_behavior": s.ods_behavior, "rating_info": s.ods_rating}
+    for ingest in INGESTS:
+        schema = TABLES[ingest.target].schema
+        day = temporal.ds_of(F.col(ingest.time_column)).alias("ds")
+        source = fingerprint(getattr(s, ingest.source), schema, [day])
+        target = fingerprint(views[ingest.source], schema, ["ds"])
+        parts.append(differences(source, target, ["ds"]).withColumn("fact", F.lit(ingest.source)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _parsed(topic: str) -> Callable[[Layers], DataFrame]:
     return lambda w: messages.parse(w.log(), topic)
 
@@ -343,6 +360,7 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "scan_one_partition": lambda w: w.src.ods_order.where(F.col("ds") == w.ds),
     "scan_history": lambda w: dwd.history(w.src.ods_order, "20240120"),
     "reconcile_counts": _reconcile,
+    "reconcile_fingerprint": _fingerprints,
     # filters and dedup
     "success_payments": lambda w: dwd.success_payments(w.src.ods_payment, w.ds),
     "valid_events": lambda w: dwd.valid_events(w.src.ods_behavior, w.ds),

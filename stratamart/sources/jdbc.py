@@ -8,7 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..bizdate import day_slices
-from ..plans.ods import Ingest
+from ..operators.fingerprint import in_database
+from ..plans.ods import INGESTS, Ingest
+from ..schemas import TABLES
+
+BY_SOURCE = {i.source: i for i in INGESTS}
 
 
 @dataclass(frozen=True)
@@ -60,6 +64,31 @@ def read_day(
     ).select(*ingest.columns)
 
 
+class DaySource:
+    """One business day of every fact: rows by table name, and their fingerprints.
+
+    The fingerprint is computed by the database itself, per hour of the fact's
+    time, so at most 24 rows a table travel for it.
+    """
+
+    def __init__(self, spark: SparkSession, db: Endpoint, ds: str, slices: int = 24) -> None:
+        self.spark, self.db, self.ds, self.slices = spark, db, ds, slices
+
+    def __call__(self, table: str) -> DataFrame:
+        return read_day(self.spark, self.db, BY_SOURCE[table], self.ds, self.slices)
+
+    def fingerprint(self, table: str) -> DataFrame:
+        return self.spark.read.jdbc(
+            self.db.url, fingerprint_query(BY_SOURCE[table], self.ds), properties=self.db.properties
+        )
+
+
+def fingerprint_query(ingest: Ingest, ds: str) -> str:
+    (day,) = day_predicates(ingest, ds, 1)
+    by = {"hour": f"hour({ingest.time_column})"}
+    return in_database(TABLES[ingest.target].schema, ingest.source, day, by)
+
+
 def read_dimension(
     spark: SparkSession, db: Endpoint, table: str, columns: list[str]
 ) -> DataFrame:
