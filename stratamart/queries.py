@@ -25,7 +25,7 @@ from .plans.ods import INGESTS, one_day
 from .schemas import TABLES
 from .sinks.results import publishable
 from .sources.star_adapter import StarAdapter
-from .streaming import contract, messages
+from .streaming import contract, messages, rejects
 
 CUTOFF = "20240130"
 
@@ -120,9 +120,26 @@ class Layers:
                 "event_time": F.expr(
                     f"if({k} % 109 = 3, event_time + interval 0.000007 seconds, event_time)"
                 ),
+                "value": F.expr(f"if({k} % 113 = 4, substring(value, 1, 12), value)"),
             }
         )
 
+    def spoilt_log(self) -> DataFrame:
+        """Raw messages with texts, keys and topics spoilt by key: one way for each rule."""
+        k = "cast(key as bigint)"
+        value = f"""
+            case when {k} % 113 = 4 then substring(value, 1, 12)
+                 when {k} % 127 = 6 then regexp_replace(value, '"user_id":[0-9]+,|"sku_num":[0-9]+,', '')
+                 when {k} % 131 = 8 then replace(value, '"event_type":"PAYMENT_SUCCESS"', '"event_type":"PAYMENT_FAILED"')
+                 when {k} % 137 = 9 then regexp_replace(value, '"business_date":"[0-9]+"', '"business_date":"20000101"')
+                 when {k} % 139 = 10 then regexp_replace(value, '"event_time":"[^"]+"', '"event_time":"2024-01-01 00:00:00"')
+                 else value end"""
+        topic = f"if({k} % 149 = 11 and topic = 'ods_order_info', 'ods_payment_info', if({k} % 151 = 12, 'other', topic))"
+        spoilt_key = f"if({k} % 157 = 13, concat(key, '0'), key)"
+        return self.log().select(
+            F.expr(topic).alias("topic"), F.expr(spoilt_key).alias("key"), F.expr(value).alias("value")
+        )
+
 
 def _day_query(source: str) -> Callable[[Layers], DataFrame]:
     return lambda w: w.day(source)
@@ -462,6 +479,7 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "event_parse_detail": _parsed(messages.DETAIL_TOPIC),
     "event_dedup": lambda w: messages.dedup_events(w.resent_log()).drop("arrival_time"),
     "event_contract_check": lambda w: contract.violations(w.tampered_log()),
+    "event_rejects": lambda w: rejects.rejected(rejects.checked(w.spoilt_log())),
     "event_missing": lambda w: contract.missing_messages(w.resent_log(), _message_facts(w)),
     "event_disorder": lambda w: contract.disorder(w.log()),
     "event_detail_first": lambda w: contract.detail_before_order(w.log()),

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from .messages import DETAIL_TOPIC, parse
+from .messages import DETAIL_TOPIC
+from .rejects import accepted, checked
 
 WATERMARK = "2 minutes"
 RAW_SCHEMA = "topic string, key string, value string"
@@ -40,12 +41,15 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> D
 def deduplicated(stream: DataFrame, topic: str, watermark: str = WATERMARK) -> DataFrame:
     """Typed events of one topic, each event_id once within the watermark.
 
+    Only messages that keep the contract: a rejected one has no id or time to go
+    by, and all such would share one key. ``rejects.route`` writes those.
+
     State is keyed by event_id, spread over all shuffle partitions, and dropped
     when the watermark passes. A resend later than that is caught by the batch
     dedup on event_id. Order lines are deduplicated by their business key.
     """
     key = "order_detail_id" if topic == DETAIL_TOPIC else "event_id"
-    events = parse(stream, topic)
+    events = accepted(checked(stream), topic)
     # Watermarks need a zoned timestamp; contract times are in the session zone.
     events = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
     return events.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark([key])

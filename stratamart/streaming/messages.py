@@ -31,7 +31,7 @@ TYPE_PRIORITY = {
     "PAYMENT_FAILED": 2,
 }
 
-_COMMON = "event_id string, event_type string, event_time timestamp_ntz, business_date string"
+COMMON = "event_id string, event_type string, event_time timestamp_ntz, business_date string"
 PAYLOADS = {
     ORDER_TOPIC: "order_id bigint, user_id bigint, shop_id bigint, "
     "order_amount decimal(20,2), create_time timestamp_ntz",
@@ -42,11 +42,11 @@ PAYLOADS = {
 }
 
 # Seconds or milliseconds; NTZ because contract times are local business times.
-_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSS]"}
+TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSS]"}
 
 
 def message_schema(topic: str) -> str:
-    return f"{_COMMON}, {PAYLOADS[topic]}"
+    return f"{COMMON}, {PAYLOADS[topic]}"
 
 
 def _field_names(topic: str) -> list[str]:
@@ -127,7 +127,7 @@ def parse(messages: DataFrame, topic: str) -> DataFrame:
     body = F.from_json(
         F.col("value").cast("string"),
         message_schema(topic),
-        {**_TIME_OPTIONS, "mode": "PERMISSIVE"},
+        {**TIME_OPTIONS, "mode": "PERMISSIVE"},
     )
     return messages.where(F.col("topic") == topic).select(body.alias("_m")).select("_m.*")
 
