@@ -50,16 +50,23 @@ def part_of_md5(text: Column, first_digit: int, digits: int) -> Column:
 
 
 def drawn(docs: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows (text) of ``docs`` (doc_id, text), drawn by hash of doc_id.
+    """At most ``most`` rows (text) of ``docs`` (doc_id, text), drawn by a hash of doc_id and text.
 
-    The numbers alone are sorted first; texts of rows beyond the last number drawn
-    leave no task, however many tasks there are.
+    Rows without doc_id are drawn like others, by their text. The numbers alone
+    are sorted first, each with its count, so copies of one row fill no task;
+    texts of rows beyond the last number drawn leave no task, and of the rows of
+    one number no more than ``most`` do.
     """
-    turn = F.coalesce(part_of_md5(F.col("doc_id").cast("string"), 1, 12), F.lit(0).cast("long"))
-    numbered = docs.select(turn.alias("turn"), "text")
-    last = numbered.select("turn").orderBy("turn").limit(most).agg(F.max("turn").alias("turn")).first().turn
-    near = numbered.filter(F.col("turn") <= F.lit(-1 if last is None else last))
-    return near.orderBy("turn", F.md5("text")).limit(most).select("text")
+    text = F.coalesce("text", F.lit(""))
+    turn = part_of_md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(text)), 1, 12)
+    numbered_ = docs.select(turn.alias("turn"), "text")
+    turns = numbered_.groupBy("turn").agg(F.count(F.lit(1)).alias("rows"))
+    last = turns.orderBy("turn").limit(most).agg(F.max("turn").alias("turn")).first().turn
+    near = numbered_.filter(F.col("turn") <= F.lit(-1 if last is None else last))
+    # Rows of one number are copies of one row, up to chance.
+    once = near.groupBy("turn").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("rows"))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.least("rows", F.lit(most).cast("long"))))
+    return once.select("turn", "text", again.alias("copy")).orderBy("turn", "copy").limit(most).select("text")
 
 
 def crc_of_id(column: str = "doc_id") -> Column:

@@ -15,7 +15,9 @@ component with the probability of the weighted Jaccard similarity. Points are
 drawn up to a time by which all components are hit with high probability, and
 further where they are not.
 
-Steps: equal multisets are one node, so copies cost nothing; signatures are cut
+Steps: equal multisets are one node: of copies in one batch of rows only the first
+carries its bands and multiset on, and what comes from several batches is one from
+the first shuffle on; signatures are cut
 into ``BANDS`` bands and nodes that agree in a band share a bucket (at
 similarity 0.8 a pair misses all buckets with probability 8e-5); each bucket's
 node with most copies is compared with the others exactly; buckets that still
@@ -162,8 +164,12 @@ def signatures(doc: np.ndarray, gram: np.ndarray, count: np.ndarray, docs: int,
     return sign.reshape(docs, m)
 
 
-def sketches(texts: list[str]) -> pd.DataFrame:
-    """bag (hash of the multiset), size, band keys and hashed multiset per text."""
+def sketches(texts: list[str], known: set[bytes]) -> pd.DataFrame:
+    """bag (hash of the multiset), size, band keys and hashed multiset per text.
+
+    Bands and multiset are given with the first text of a bag and left out with
+    those after it: ``known`` holds the bags that had them before.
+    """
     doc, gram = shingles(texts)
     new = np.append(True, (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])) if len(doc) else np.empty(0, bool)
     starts = np.flatnonzero(new)
@@ -179,29 +185,29 @@ def sketches(texts: list[str]) -> pd.DataFrame:
     out = []
     for i, end in enumerate(ends):
         begin = ends[i - 1] if i else 0
-        whole = gram[begin:end].tobytes()
-        out.append(
-            (
-                xxhash.xxh128_digest(whole),
-                int(end - begin),
-                key[i].view(np.int64).tolist() if end > begin else [],
-                np.unique(small[begin:end]).tobytes(),
-            )
-        )
+        bag = xxhash.xxh128_digest(gram[begin:end].tobytes())
+        if bag in known:
+            out.append((bag, int(end - begin), None, None))
+            continue
+        known.add(bag)
+        bands = key[i].view(np.int64).tolist() if end > begin else []
+        out.append((bag, int(end - begin), bands, np.unique(small[begin:end]).tobytes()))
     return pd.DataFrame(out, columns=["bag", "size", "bands", "grams"])
 
 
 def sketched(docs: DataFrame, text: str = "text", *also: str) -> DataFrame:
-    """(doc_id, bag, size, bands, grams) of every row, and the binary columns ``also``."""
+    """(doc_id, bag, size, bands, grams) of every row, and the binary columns ``also``;
+    bands and grams are null for a bag that the row's batch had before."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t or "" for t in batch.text]
             first = size = 0
+            known: set[bytes] = set()
             for i, t in enumerate(texts):
                 size += len(t)
                 if size >= BATCH_CHARS or i == len(texts) - 1:
-                    part = sketches(texts[first : i + 1])
+                    part = sketches(texts[first : i + 1], known)
                     for at, name in enumerate(["doc_id", *also]):
                         part.insert(at, name, batch[name].iloc[first : i + 1].to_numpy())
                     yield part
@@ -273,13 +279,14 @@ def in_buckets(buckets: DataFrame) -> DataFrame:
 
 def linked(sketch: DataFrame) -> DataFrame:
     """(a, b): enough links between nodes to give the components, from a stored sketch."""
-    entries = sketch.select("bag", F.explode("bands").alias("key"))
+    firsts = sketch.filter(F.col("grams").isNotNull())
+    entries = firsts.select("bag", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.min("bag").alias("lo"), F.max("bag").alias("hi"))
     shared = shared.filter("lo <> hi").select("key")
     members = stored(entries.join(shared, "key").groupBy("key", "bag").agg(F.count(F.lit(1)).alias("copies")))
     nodes = members.select("bag").distinct()
     sets = stored(
-        sketch.select("bag", "grams").join(nodes, "bag", "left_semi").groupBy("bag").agg(F.first("grams").alias("grams"))
+        firsts.select("bag", "grams").join(nodes, "bag", "left_semi").groupBy("bag").agg(F.first("grams").alias("grams"))
     )
     hubs = members.groupBy("key").agg(F.max(F.struct("copies", "bag")).alias("hub"))
     hubs = hubs.select("key", F.col("hub.bag").alias("a"))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stratamart.llm import common, mixing, sharding
+from stratamart.llm import common, mixing, near_dedup, sharding
 
 ROWS = 3000
 KEYS = {
@@ -64,3 +64,29 @@ def test_columns_of_the_operators_names(spark):
     assert mixed.columns == docs.columns and {r["__mix_size"] for r in mixed.collect()} == {"mine"}
     assert {r["__mix_row"] for r in sharding.shard(docs).collect()} == {"mine"}
     assert "mine" not in {r["__shard"] for r in sharding.shard(docs).collect()}
+
+
+def test_rows_without_id_are_drawn_like_others(spark):
+    docs = spark.range(ROWS).select(
+        F.expr("if(id % 3 = 0, null, id)").alias("doc_id"), F.expr("concat(if(id % 3 = 0, 'none ', 'with '), id)").alias("text")
+    )
+    texts = [r.text for r in common.drawn(docs, 300).collect()]
+    assert len(texts) == len(set(texts)) == 300
+    assert 60 < sum(t.startswith("none") for t in texts) < 140
+    assert sorted(texts) == sorted(r.text for r in common.drawn(docs.repartition(5), 300).collect())
+
+
+def test_copies_are_drawn_in_bounds(spark):
+    docs = documents(spark, "all equal")
+    assert [r.text for r in common.drawn(docs, 50).collect()] == ["some words of one text"] * 50
+    assert common.drawn(docs.limit(0), 50).count() == 0 and common.drawn(docs.limit(20), 50).count() == 20
+
+
+def test_copies_of_a_text_carry_their_bands_once_a_batch(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.range(2000).repartition(4).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    sketch = near_dedup.sketched(docs)
+    assert sketch.filter("bands is not null").count() <= 4 and sketch.count() == 2000
+    rows = near_dedup.classes(docs).collect()
+    assert len(rows) == 2000 and {(r.class_id, r.class_size) for r in rows} == {(0, 2000)}
+    assert near_dedup.keep_one(docs).count() == 1
