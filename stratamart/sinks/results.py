@@ -46,17 +46,12 @@ class JdbcResultStore:
         connection = jvm.java.sql.DriverManager.getConnection(
             self.db.url, self.db.user, self.db.password
         )
+        # One statement, which the connection commits by itself or not at all.
+        gone = f"DELETE FROM {self._name(table)} WHERE ds = ?"
         try:
-            connection.setAutoCommit(False)
-            statement = connection.prepareStatement(
-                f"DELETE FROM {self._name(table)} WHERE ds = ?"
-            )
-            statement.setString(1, ds)
-            statement.executeUpdate()
-            connection.commit()
-        except Exception:
-            connection.rollback()
-            raise
+            query = connection.prepareStatement(gone)
+            query.setString(1, ds)
+            query.executeUpdate()
         finally:
             connection.close()
 
