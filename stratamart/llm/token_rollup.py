@@ -5,9 +5,9 @@ becomes signed rows (documents, characters, tokens): an insert adds, a delete
 takes away what the ledger holds, a revision takes away the old count and adds
 the new one. The signed rows are summed per source, language and version and
 committed under the batch's id; totals are the sum over all commits, so no
-commit reads the corpus. A batch id names its folder: delivering a batch again
-replaces it by the same rows, and a batch cut off by a failure has no ``_SUCCESS``
-file and does not count.
+commit reads the corpus. A batch id names its folder (escaped, whatever its signs):
+a batch that was committed before is left as it is when it is delivered again, and
+one cut off by a failure has no ``_SUCCESS`` file, does not count and is written anew.
 
 Defined results: null texts count 0 tokens; null source and language are groups
 of their own; repeated rows of one insert are documents of their own; groups
@@ -18,6 +18,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark import Broadcast
@@ -80,15 +81,18 @@ class Rollup:
         self.spark, self.folder = spark, folder or shared_folder(spark)
 
     def commit(self, batch: str, changes: DataFrame) -> None:
-        """Sum the signed rows and write them as this batch, once or again."""
+        """Sum the signed rows and write them as this batch, unless it is committed."""
+        folder = f"{self.folder}/batch={quote(batch, safe='')}"
+        if folder in self._committed():
+            return
         sums = changes.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in SUMS])
-        sums.write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
+        sums.write.mode("overwrite").parquet(folder)
 
     def _committed(self) -> list[str]:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         marks = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/batch=*/_SUCCESS")
         found = marks.getFileSystem(conf).globStatus(marks) or []
-        return sorted(status.getPath().getParent().toString() for status in found)
+        return sorted(f"{self.folder}/{status.getPath().getParent().getName()}" for status in found)
 
     def totals(self) -> DataFrame:
         """Documents, characters and tokens per group, from all committed batches."""
