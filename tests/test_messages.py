@@ -161,7 +161,7 @@ def _drain(spark, source, out, topic):
 
 def test_stream_drops_resends_and_counts_late_rows(spark, tmp_path):
     source = tmp_path / "in"
-    late = consume.LateRows()
+    late = consume.LateRows(spark, str(tmp_path / "late"))
     spark.streams.addListener(late)
     _write(spark, source, [(*ORDER, "a", "2026-08-25 10:00:00", 1),
                            (*ORDER, "a", "2026-08-25 10:00:00", 1),
