@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from .bizdate import parse_ds
 from .errors import DataQualityError
 from .operators.fingerprint import differences, fingerprint
+from .operators.quality import require
 from .plans import ads, audit, contracts, dim, dwd, dws
 from .plans.ods import INGESTS, one_day
 from .schemas import TABLES
 from .sinks import states
 from .sinks.results import JdbcResultStore, ResultStore, publish
-from .sinks.tables import replace_day, write_partition, write_whole
+from .sinks.tables import Staged, replace_day, stage, swap, write_partition
 from .sources import jdbc
 from .sources.tables import create_all, read_partition, require_partition
 
@@ -29,17 +30,26 @@ SourceReader = Callable[[str], DataFrame]
 # ---- dimensions and increments ---------------------------------------------
 
 def load_dimensions(spark: SparkSession, read: SourceReader, *, first_load: bool = False) -> None:
-    """Replace both dimension tables; refuses empty sources.
+    """Replace both dimension tables together; refuses empty sources and broken rules.
 
-    ``first_load`` also refuses when any increment is stored already.
+    Each source is read once: SKUs take their shop's names from the shops that
+    were just written. Rules are checked on what was written, and a broken one
+    leaves both tables as they were. ``first_load`` also refuses when any increment is stored already.
     """
     if first_load:
         require_no_facts({i.target: spark.table(i.target) for i in INGESTS})
-    shop, sku = read("shop_info"), read("sku_info")
-    if shop.isEmpty() or sku.isEmpty():
-        raise DataQualityError("shop_info or sku_info is empty")
-    write_whole(dim.shops(shop), "cdm.dim_shop_df")
-    write_whole(dim.skus(sku, shop), "cdm.dim_sku_df")
+    staged: list[Staged] = []
+    try:
+        staged.append(stage(dim.shops(read("shop_info")), "cdm.dim_shop_df"))
+        staged.append(stage(dim.skus(read("sku_info"), staged[0].rows), "cdm.dim_sku_df"))
+        for one, contract in zip(staged, (contracts.DIM_SHOP, contracts.DIM_SKU), strict=True):
+            if not require(one.rows, contract):
+                raise DataQualityError(f"{contract.name} is empty")
+        swap(staged)
+    except BaseException:
+        for one in staged:
+            one.drop()
+        raise
 
 
 def require_no_facts(facts: dict[str, DataFrame]) -> None:
@@ -257,7 +267,7 @@ def main(argv: list[str] | None = None) -> None:
                         help="dimensions: refuse when increments exist")
     parser.add_argument("--audited", action="store_true",
                         help="increments: a broken rule leaves the tables as they were")
-    parser.add_argument("--slices", type=int, default=24, help="parallel reads per day")
+    parser.add_argument("--slices", type=int, default=24, help="parallel reads of a table")
     args = parser.parse_args(argv)
     parse_ds(args.ds)
 
@@ -266,11 +276,7 @@ def main(argv: list[str] | None = None) -> None:
         create_all(spark, args.root)
         if args.job == "dimensions":
             db = jdbc.Endpoint.from_env("BUSINESS_DB")
-            load_dimensions(
-                spark,
-                lambda t: spark.read.jdbc(db.url, t, properties=db.properties),
-                first_load=args.first_load,
-            )
+            load_dimensions(spark, jdbc.DimensionSource(spark, db, args.slices), first_load=args.first_load)
         elif args.job == "increments":
             db = jdbc.Endpoint.from_env("BUSINESS_DB")
             source = jdbc.DaySource(spark, db, args.ds, args.slices)

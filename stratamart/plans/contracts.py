@@ -249,3 +249,17 @@ SOURCE = {
         forbidden={"bad_score": "shop_score not between 1 and 5"},
     ),
 }
+
+# Dimensions as they are stored.
+DIM_SHOP = Contract(
+    "cdm.dim_shop_df",
+    key=("shop_id",),
+    required=("shop_id", "shop_name", "province_name"),
+    forbidden={"bad_status": "status not in (0, 1)"},
+)
+DIM_SKU = Contract(
+    "cdm.dim_sku_df",
+    key=("sku_id",),
+    required=("sku_id", "sku_name", "category_id", "category_name", "shop_id", "price"),
+    forbidden={"bad_price": "price < 0", "bad_status": "status not in (0, 1)"},
+)

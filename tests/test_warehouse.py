@@ -1,5 +1,8 @@
 """Stored tables, daily jobs and publishing, end to end on a small folder."""
 
+from collections import Counter
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,7 +160,7 @@ def test_guards(spark, warehouse):
     with pytest.raises(ValueError):
         tables.has_partition(spark, NAME, "2020' or '1'='1")
     with pytest.raises(DataQualityError, match="empty"):
-        jobs.load_dimensions(spark, lambda t: spark.range(0))
+        jobs.load_dimensions(spark, lambda t: getattr(Layers(spark, SMALL).src, t).limit(0))
     with pytest.raises(DataQualityError, match="frozen"):
         jobs.require_no_facts({"order_info": spark.range(1), "rating_info": spark.range(0)})
     jobs.require_no_facts({"order_info": spark.range(0)})
@@ -219,6 +222,69 @@ def test_jdbc_slices_are_disjoint_and_cover_the_day():
     ]
 
 
+def _counter(ids):
+    def count(low, high, width):
+        return Counter((i - low) // width for i in ids if low <= i < high)
+    return count
+
+
+@pytest.mark.parametrize(
+    "ids",
+    [
+        list(range(1000)),
+        [*range(990), *range(10**12, 10**12 + 10)],
+        [2**i for i in range(60)] * 1 + list(range(5_000_000, 5_000_900)),
+        [7] * 1 + [10**9 + i * i for i in range(2000)],
+        list(range(-500, 500)),
+    ],
+)
+def test_id_ranges_are_balanced_however_ids_lie(ids):
+    parts, asked = 8, []
+
+    def count(low, high, width):
+        asked.append((low, high))
+        found = _counter(ids)(low, high, width)
+        assert len(found) <= jdbc.FAN
+        return found
+
+    ranges = jdbc.balanced_ranges(count, min(ids), max(ids) + 1, len(ids), parts)
+    held = [sum(low <= i < high for i in ids) for low, high in ranges]
+    share = -(-len(ids) // parts)
+    assert sum(held) == len(ids) and max(held) <= 2 * share and len(ranges) <= 2 * parts
+    assert [a for a, _ in ranges[1:]] == [b for _, b in ranges[:-1]]
+    assert len(asked) < 100
+
+
+def test_range_predicates_take_every_row_once():
+    con = duckdb.connect()
+    con.execute("create table t as select unnest([null, -5, 0, 1, 2, 3, 9, 100]) as id")
+    for ranges in ([(0, 10)], [(0, 2), (2, 10)], [(0, 1), (1, 3), (3, 10)]):
+        predicates = jdbc.range_predicates("id", ranges)
+        assert len(predicates) == len(ranges)
+        assert sum(con.execute(f"select count(*) from t where {p}").fetchone()[0] for p in predicates) == 8
+
+
+def test_dimensions_are_read_once_and_checked_before_the_swap(spark, warehouse):
+    source, reads = Layers(spark, SMALL).src, []
+
+    def read(table):
+        reads.append(table)
+        return getattr(source, table)
+
+    jobs.load_dimensions(spark, read)
+    assert reads == ["shop_info", "sku_info"]
+    before = [tables.current_path(spark, t, tables.WHOLE) for t in ("cdm.dim_shop_df", "cdm.dim_sku_df")]
+    rows = spark.table("cdm.dim_sku_df").count()
+    assert rows and rows == source.sku_info.count()
+    bad = source.sku_info.withColumn("price", F.expr("if(sku_id % 50 = 7, -price, price)"))
+    with pytest.raises(DataQualityError, match="dim_sku_df: bad_price="):
+        jobs.load_dimensions(spark, {"shop_info": source.shop_info, "sku_info": bad}.__getitem__)
+    twice = source.shop_info.unionByName(source.shop_info)
+    with pytest.raises(DataQualityError, match="dim_shop_df: repeated_keys="):
+        jobs.load_dimensions(spark, {"shop_info": twice, "sku_info": source.sku_info}.__getitem__)
+    assert [tables.current_path(spark, t, tables.WHOLE) for t in ("cdm.dim_shop_df", "cdm.dim_sku_df")] == before
+
+
 def test_endpoint_comes_from_the_environment_and_hides_its_password(monkeypatch):
     for key in ("URL", "USER", "PASSWORD", "DRIVER"):
         monkeypatch.setenv(f"X_{key}", f"my-{key}")
