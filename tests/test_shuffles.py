@@ -55,6 +55,21 @@ def test_trade_shuffles_lineitem_once_and_broadcasts_hot_orders(layers):
     assert {float(p) for _, _, p in kept} == {19.0}
 
 
+def test_both_views_of_the_lines_use_one_shuffle_by_line(layers):
+    layers.spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    text = plan(layers.trade())
+    by_line = [x for x in text.splitlines() if "Exchange hashpartitioning(order_detail_id" in x]
+    assert len([x for x in by_line if "ReusedExchange" not in x]) == 1
+    assert len([x for x in by_line if "ReusedExchange" in x]) == 2
+
+
+def test_lines_hashed_by_id_are_the_lines(layers):
+    src = layers.src
+    assert src.ods_detail.exceptAll(src.ods_detail_by_id).isEmpty()
+    assert src.ods_detail_by_id.exceptAll(src.ods_detail).isEmpty()
+    assert src.ods_detail.columns == src.ods_detail_by_id.columns
+
+
 def test_newest_orders_stay_where_their_sums_are(layers):
     orders = layers.src.ods_order
     assert plan(orders).count("Exchange hashpartitioning") == plan(
