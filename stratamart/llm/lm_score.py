@@ -13,8 +13,10 @@ apart). Causal self-attention over the classes of up to ``WINDOW`` tokens gives
 the next class; the id within its class follows its count over all training rows,
 inside a word also given the class before it. Windows overlap by half: each token
 is scored once, with at least half a window before it where the text has that, in
-batches of masked attention. The attention weights are trained here in numpy
-(Adam) on a bounded sample of windows.
+batches of masked attention. Classes come from the ids of all training rows. The
+attention weights are trained in numpy (Adam): started on a bounded sample of
+windows, then each task goes through all windows of its training rows, and the
+tasks' weights are averaged.
 
 At the start of a word attention first says whether a word begins (the chance
 that the word before ends there), then which class it begins with. A word's
@@ -56,11 +58,15 @@ ROUNDS, AVERAGE = 12, 20.0
 DIMS = 16
 WINDOW = 32
 STEP = WINDOW // 2
-#: Training: documents of the sample, windows that each gives, steps, batch.
+#: Start of the training: documents of the sample, windows that each gives, steps; batch.
 SAMPLE = 2000
 PER_DOCUMENT = 16
 STEPS = 1500
 BATCH = 128
+#: Rate of the steps over all training windows, and windows that a task holds at once
+#: (of which a count in a chunk fits 32 bits).
+RATE = 0.002
+WINDOWS_HELD = 4096
 #: Weight of the frequent words in the mixture.
 SHARE = 0.75
 #: Pseudo-count of an id's chance without the class before it.
@@ -127,22 +133,39 @@ def clusters(company: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     return of
 
 
-def class_of_ids(windows: np.ndarray, table_: dict[bytes, int], begins: np.ndarray) -> np.ndarray:
-    """Class of each id and of the end, from windows of the sample (negative: none).
+def usual_ids(counts: np.ndarray) -> np.ndarray:
+    """All ids, the most frequent first; the first ``ALONE`` are classes of their own."""
+    return np.argsort(-counts, kind="stable")
+
+
+def company_of(windows: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """How often the ``ALONE`` frequent ids share a window with each id (negative, END: none)."""
+    real = (windows >= 0) & (windows < END)
+    at, ids = np.nonzero(real)[0], windows[real]
+    place = np.full(PIECES, -1)
+    place[order[:ALONE]] = np.arange(ALONE)
+    here = place[ids]
+    usual = here >= 0
+    around = np.bincount(at[usual] * ALONE + here[usual], minlength=len(windows) * ALONE).reshape(-1, ALONE)
+    out = np.zeros((PIECES, ALONE))
+    if len(ids):
+        turn = np.argsort(ids, kind="stable")
+        first = np.flatnonzero(np.diff(ids[turn], prepend=-1))
+        # Counts of a chunk of windows, exact in 32 bits.
+        out[ids[turn][first]] = np.add.reduceat(around[at[turn]].astype(np.int32), first, axis=0)
+    return out
+
+
+def classes_from(
+    counts: np.ndarray, company: np.ndarray, order: np.ndarray, table_: dict[bytes, int], begins: np.ndarray
+) -> np.ndarray:
+    """Class of each id and of the end, from the ids' counts and company.
 
     No class holds both ids that begin words and ids that do not."""
-    window, ids = np.nonzero((windows >= 0) & (windows < END))[0], windows[(windows >= 0) & (windows < END)]
-    counts = np.bincount(ids, minlength=PIECES)
     of = np.zeros(PIECES + 1, np.int64)
-    order = np.argsort(-counts, kind="stable")
     of[order[:ALONE]] = np.arange(ALONE)
-    # How often the frequent ids share a window with each id.
-    here = of[ids].astype(np.int64)
-    usual = np.isin(ids, order[:ALONE])
-    around = np.bincount(window[usual] * ALONE + here[usual], minlength=len(windows) * ALONE).reshape(-1, ALONE)
-    company = np.stack([np.bincount(ids, weights=x[window], minlength=PIECES) for x in around.T], axis=1).astype(float)
     mean = (company.sum(0) + 1) / (company.sum() + ALONE)
-    company += AVERAGE * mean
+    company = company + AVERAGE * mean
     company = np.sqrt(company / company.sum(1, keepdims=True))
     kinds = np.full(PIECES, 2)
     for piece, rank in table_.items():
@@ -159,6 +182,13 @@ def class_of_ids(windows: np.ndarray, table_: dict[bytes, int], begins: np.ndarr
     return of
 
 
+def class_of_ids(windows: np.ndarray, table_: dict[bytes, int], begins: np.ndarray) -> np.ndarray:
+    """Class of each id and of the end, from windows (negative: none)."""
+    counts = np.bincount(windows[(windows >= 0) & (windows < END)], minlength=PIECES)
+    order = usual_ids(counts)
+    return classes_from(counts, company_of(windows, order), order, table_, begins)
+
+
 def begin_ids(encoder, begins: np.ndarray, words: list[bytes]) -> np.ndarray:
     """The id that begins each word."""
     flat = piece_ids(encoder, words)[:-1]
@@ -214,6 +244,28 @@ def times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
 
 
+def outer(x: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Sum over all tokens of windows of the products of ``x`` and ``d``."""
+    return x.reshape(-1, x.shape[-1]).T @ d.reshape(-1, d.shape[-1])
+
+
+class Adam:
+    """Steps along gradients, changing the weights in place."""
+
+    def __init__(self, w: dict[str, np.ndarray]):
+        self.w, self.steps = w, 0
+        self.first = {n: np.zeros_like(v) for n, v in w.items()}
+        self.second = {n: np.zeros_like(v) for n, v in w.items()}
+
+    def step(self, grads: dict[str, np.ndarray], rate: float) -> None:
+        self.steps += 1
+        for n, g in grads.items():
+            self.first[n] = 0.9 * self.first[n] + 0.1 * g
+            self.second[n] = 0.99 * self.second[n] + 0.01 * g * g
+            mean, spread = self.first[n] / (1 - 0.9**self.steps), self.second[n] / (1 - 0.99**self.steps)
+            self.w[n] -= (rate * mean / (np.sqrt(spread) + 1e-8)).astype(np.float32)
+
+
 @dataclass
 class Attention:
     """One layer of causal self-attention with positions, then next-class scores."""
@@ -267,40 +319,43 @@ class Attention:
         known = np.where(self.sides[y, 1] > 0, total[:, :, 1], total[:, :, 0])
         return (picked - known) / np.float32(math.log(10)), begin / np.float32(math.log(10))
 
+    def gradients(self, x: np.ndarray, y: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy of the next classes ``y`` of windows."""
+        w = self.w
+        z, s = self.forward(x, 0)
+        dz = np.exp(np.clip(z, -TOP, TOP, out=z), out=z)
+        dz /= dz @ np.ones((CLASSES, 1), np.float32)
+        np.put_along_axis(dz, y[:, :, None], np.take_along_axis(dz, y[:, :, None], 2) - 1, 2)
+        dz *= (real / max(1, real.sum()))[:, :, None]
+        grads = {"top": dz.sum((0, 1)), "out": outer(s["g"], dz)}
+        dg = times(dz, w["out"].T)
+        dg *= s["g"] > 0
+        grads["bias"] = dg.sum((0, 1))
+        grads["mix"] = outer(s["h"], dg)
+        dh = times(dg, w["mix"].T)
+        # Products of slices that are not contiguous would be slow.
+        de, dc = dh[:, :, :DIMS].copy(), dh[:, :, DIMS:].copy()
+        da = dc @ s["v"].transpose(0, 2, 1)
+        dv = s["a"].transpose(0, 2, 1) @ dc
+        da -= (da * s["a"]) @ np.ones((x.shape[1], 1), np.float32)
+        da *= s["a"]
+        dq, dk = da @ s["k"], da.transpose(0, 2, 1) @ s["q"]
+        for name, d in (("q", dq * np.float32(DIMS**-0.5)), ("k", dk), ("v", dv)):
+            grads[name] = outer(s["e"], d)
+            de += times(d, w[name].T)
+        grads["place"] = np.zeros_like(w["place"])
+        grads["place"][: x.shape[1]] = de.sum(0)
+        chosen = (x.reshape(-1, 1) == np.arange(CLASSES + 1)).astype(np.float32)
+        grads["embed"] = chosen.T @ de.reshape(-1, DIMS)
+        return grads
+
     def train(self, x: np.ndarray, y: np.ndarray, real: np.ndarray) -> None:
         """Adam on windows (n, WINDOW) of inputs, next classes and their validity."""
-        w, rng = self.w, np.random.default_rng(6)
-        first = {n: np.zeros_like(v) for n, v in w.items()}
-        second = {n: np.zeros_like(v) for n, v in w.items()}
+        rng, adam = np.random.default_rng(6), Adam(self.w)
         for step in range(1, STEPS + 1):
             at = rng.integers(0, len(x), BATCH)
-            z, s = self.forward(x[at], 0)
-            z -= z.max(2, keepdims=True)
-            p = np.exp(z)
-            p /= p.sum(2, keepdims=True)
-            np.put_along_axis(p, y[at][:, :, None], np.take_along_axis(p, y[at][:, :, None], 2) - 1, 2)
-            dz = p * (real[at] / max(1, real[at].sum()))[:, :, None]
-            grads = {"top": dz.sum((0, 1)), "out": np.einsum("blg,blc->gc", s["g"], dz)}
-            dg = (dz @ w["out"].T) * (s["g"] > 0)
-            grads["bias"] = dg.sum((0, 1))
-            grads["mix"] = np.einsum("blh,blg->hg", s["h"], dg)
-            dh = dg @ w["mix"].T
-            de, dc = dh[:, :, :DIMS].copy(), dh[:, :, DIMS:]
-            da = dc @ s["v"].transpose(0, 2, 1)
-            dv = s["a"].transpose(0, 2, 1) @ dc
-            da = s["a"] * (da - (da * s["a"]).sum(2, keepdims=True))
-            dq, dk = da @ s["k"], da.transpose(0, 2, 1) @ s["q"]
-            for name, d in (("q", dq * DIMS**-0.5), ("k", dk), ("v", dv)):
-                grads[name] = np.einsum("bld,ble->de", s["e"], d)
-                de += d @ w[name].T
-            grads["place"] = de.sum(0)
-            grads["embed"] = np.zeros_like(w["embed"])
-            np.add.at(grads["embed"], x[at], de)
             rate = 0.01 * min(1.0, 2 * (1 - step / (STEPS + 1)))
-            for n, g in grads.items():
-                first[n] = 0.9 * first[n] + 0.1 * g
-                second[n] = 0.99 * second[n] + 0.01 * g * g
-                w[n] -= rate * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-8)
+            adam.step(self.gradients(x[at], y[at], real[at]), rate)
 
     def scores(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per token log10 p of its class, of the id in its class, and of a word's
@@ -323,7 +378,7 @@ class Attention:
         self.put(out, inputs, classes, begin, np.minimum(ends[which] - begin, WINDOW), STEP)
         return out[0], inside, out[1]
 
-    def put(self, out, inputs, classes, begin, length, first: int, block: int = 256) -> None:
+    def put(self, out, inputs, classes, begin, length, first: int, block: int = 64) -> None:
         """Put in the class scores of the tokens ``first:`` of windows."""
         for i in range(0, len(begin), block):
             width = int(length[i : i + block].max())
@@ -359,8 +414,127 @@ def spelled(
     return ids, np.cumsum(times)[np.cumsum(lengths + 1) - 1]
 
 
+def spelled_rows(docs: DataFrame, begins: np.ndarray, vocabulary: Broadcast) -> DataFrame:
+    """The ids of each text with its end, as 16-bit numbers."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoding(vocabulary.value)
+        for batch in batches:
+            texts, first = batch.column(0), 0
+            while first < len(texts):
+                lists, size, last = [], 0, first
+                while last < len(texts) and size < BATCH_CHARS:
+                    text = texts[last].as_py() or ""
+                    lists.append(words_of(text))
+                    size += len(text)
+                    last += 1
+                lengths = np.array([len(x) for x in lists], np.int64)
+                flat = np.empty(int(lengths.sum()), object)
+                flat[:] = [w for x in lists for w in x]
+                codes, unique = pd.factorize(flat)
+                ids, ends = spelled(encoder, begins, list(unique), codes, lengths)
+                rows = [x.astype(np.uint16).tobytes() for x in np.split(ids, ends[:-1])]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+                first = last
+
+    return docs.select("text").mapInArrow(work, "ids binary")
+
+
+def keep_memory() -> None:
+    """Free one block of 30 MB: the allocator then keeps as much for later arrays,
+    which would else be given back and cleared anew at each step."""
+    np.ones(30 << 20, np.uint8)
+
+
+def windows_of(rows: pa.Array) -> Iterator[np.ndarray]:
+    """Windows (n, WINDOW + 1) of consecutive ids of texts and the id before them,
+    each id in exactly one; -1: start, -2: none."""
+    parts, held = [], 0
+    for row in rows:
+        ids = np.append(-1, np.frombuffer(row.as_py(), np.uint16).astype(np.int64))
+        n = -(-(len(ids) - 1) // WINDOW)
+        ids = np.append(ids, np.full(n * WINDOW + 1 - len(ids), -2))
+        for begin in range(0, n, WINDOWS_HELD):
+            some = ids[begin * WINDOW : (begin + WINDOWS_HELD) * WINDOW + 1]
+            parts.append(np.lib.stride_tricks.sliding_window_view(some, WINDOW + 1)[::WINDOW])
+            held += len(parts[-1])
+            if held >= WINDOWS_HELD:
+                yield np.concatenate(parts)
+                parts, held = [], 0
+    if parts:
+        yield np.concatenate(parts)
+
+
+def summed(rows: DataFrame, work, size: int) -> np.ndarray:
+    """Counts of ``size`` places that ``work`` takes from the windows of a batch,
+    over all of ``rows``: added up in the tasks, then by place."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
+        total = np.zeros(size)
+        for batch in batches:
+            for windows in windows_of(batch.column(0)):
+                total += work(windows)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["at", "n"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [np.ascontiguousarray(batch.column(i).to_numpy(), np.int64).tobytes() for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["at", "n"])
+
+    sums = rows.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    out = np.zeros(size)
+    for row in sums.mapInArrow(packed, "at binary, n binary").collect():
+        out[np.frombuffer(row["at"], np.int64)] = np.frombuffer(row["n"], np.int64)
+    return out
+
+
+def averaged(rows: DataFrame, model: Attention) -> dict[str, np.ndarray]:
+    """Weights after a pass over all windows of ``rows``: each task goes on from the
+    given ones through its windows, and the tasks' weights are averaged by windows."""
+    names = sorted(model.w)
+    of, begins, start = model.of, model.begins, {n: model.w[n] for n in names}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Attention(of, np.zeros((1, 1), np.float32), begins, {n: v.copy() for n, v in start.items()})
+        keep_memory()
+        adam, rng, seen = Adam(own.w), np.random.default_rng(7), 0
+        for batch in batches:
+            for ids in windows_of(batch.column(0)):
+                classes = np.where(ids == -1, START, of[np.maximum(ids, 0)])
+                turn = rng.permutation(len(ids))
+                for i in range(0, len(ids), BATCH):
+                    at = turn[i : i + BATCH]
+                    y = np.minimum(classes[at, 1:], CLASSES - 1)
+                    grads = own.gradients(classes[at, :-1], y, (ids[at, 1:] >= 0).astype(np.float32))
+                    # A rest smaller than a batch counts for less.
+                    adam.step(grads, RATE * len(at) / BATCH)
+                seen += len(ids)
+        if seen:
+            flat = np.concatenate([own.w[n].ravel() for n in names]).astype(float)
+            columns = [pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))]
+            yield pa.RecordBatch.from_arrays(columns, ["at", "w", "n"])
+
+    sums = rows.mapInArrow(work, "at long, w double, n long").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w"))
+    found = sums.orderBy("at").toPandas()["w"].to_numpy(np.float32)
+    ends = np.cumsum([start[n].size for n in names])
+    return {n: part.reshape(start[n].shape) for n, part in zip(names, np.split(found, ends[:-1]))}
+
+
 def fit(docs: DataFrame, words: DataFrame, ends: int, vocabulary: Broadcast) -> Attention:
-    """Train on windows of at most ``SAMPLE`` training documents, drawn by hash."""
+    """Classes from the ids of all training rows; weights started on windows of at most
+    ``SAMPLE`` documents, drawn by hash, then trained on those of all rows."""
+    begins = np.zeros(PIECES + 1, bool)
+    for piece, rank in vocabulary.value.items():
+        begins[rank] = b" " in piece
+    begins[END] = True
+    rows = stored(spelled_rows(docs, begins, vocabulary))
+    counts = summed(rows, lambda ids: np.bincount(ids[:, 1:][ids[:, 1:] >= 0], minlength=PIECES + 1), PIECES + 1)[:PIECES]
+    order = usual_ids(counts)
+    company = summed(rows, lambda ids: company_of(ids[:, 1:], order).ravel(), PIECES * ALONE).reshape(PIECES, ALONE)
+    of = classes_from(counts, company, order, vocabulary.value, begins)
+    model = Attention(of, id_chances(words, ends, of, begins, vocabulary), begins)
     chosen = drawn(docs, SAMPLE)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -375,17 +549,12 @@ def fit(docs: DataFrame, words: DataFrame, ends: int, vocabulary: Broadcast) ->
             yield pd.DataFrame({"ids": rows})
 
     # At most SAMPLE * PER_DOCUMENT windows of WINDOW + 1 numbers; -1: start, -2: none.
-    rows = sorted(chosen.mapInPandas(work, "ids binary").toPandas().ids)
-    ids = np.frombuffer(b"".join(rows), np.int32).reshape(-1, WINDOW + 1).astype(np.int64)
-    begins = np.zeros(PIECES + 1, bool)
-    for piece, rank in vocabulary.value.items():
-        begins[rank] = b" " in piece
-    begins[END] = True
-    of = class_of_ids(ids, vocabulary.value, begins)
-    model = Attention(of, id_chances(words, ends, of, begins, vocabulary), begins)
+    first = sorted(chosen.mapInPandas(work, "ids binary").toPandas().ids)
+    ids = np.frombuffer(b"".join(first), np.int32).reshape(-1, WINDOW + 1).astype(np.int64)
     if len(ids):
         classes = np.where(ids == -1, START, of[np.maximum(ids, 0)])
         model.train(classes[:, :-1], np.minimum(classes[:, 1:], CLASSES - 1), (ids[:, 1:] >= 0).astype(np.float32))
+        model.w = averaged(rows, model)
     return model
 
 
@@ -397,6 +566,7 @@ def scored(
     share, rest = math.log10(SHARE), math.log10(1 - SHARE)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         encoder = encoding(vocabulary.value)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)

@@ -1,6 +1,7 @@
 """Words of many texts encoded once give the ids of each text encoded alone."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stratamart.llm import lm_score
@@ -32,3 +33,35 @@ def test_equal_texts_have_equal_scores(spark):
     assert len(rows) == 64
     for i in range(len(TEXTS)):
         assert len({(r.score, round(r.base_score, 9), r.n_tokens) for r in rows if r.doc_id % len(TEXTS) == i}) == 1
+
+
+def test_rows_that_are_not_drawn_move_classes_and_weights(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SAMPLE", 1)
+    monkeypatch.setattr(lm_score, "STEPS", 2)
+    vocabulary = lm_score.sent(spark)
+
+    texts = {1: "a house by the sea and a boat in the sea " * 20, 2: "der hund und die katze und der vogel " * 60}
+    both = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    chosen = lm_score.drawn(both, 1).first().text
+
+    def fitted(docs):
+        return lm_score.fit(docs, lm_score.stored(lm_score.counted(docs)), docs.count(), vocabulary)
+
+    alone, both = fitted(both.filter(F.col("text") == chosen)), fitted(both)
+    assert (alone.of != both.of).any()
+    assert any(np.abs(alone.w[n] - both.w[n]).max() > 1e-4 for n in alone.w)
+
+
+def test_windows_hold_each_id_once():
+    rows = [np.arange(n, dtype=np.uint16) for n in (1, 32, 33, 200)]
+    windows = np.concatenate(list(lm_score.windows_of(pa.array([r.tobytes() for r in rows], pa.binary()))))
+    assert windows[:, 1:][windows[:, 1:] >= 0].tolist() == np.concatenate(rows).tolist()
+    assert (windows[:, 0] == -1).sum() == len(rows)
+    order = np.arange(lm_score.PIECES)
+    company = np.zeros((lm_score.PIECES, lm_score.ALONE))
+    for window in windows[:, 1:]:
+        ids = window[window >= 0]
+        for i in ids:
+            for j in ids[ids < lm_score.ALONE]:
+                company[i, j] += 1
+    assert (lm_score.company_of(windows[:, 1:], order) == company).all()
