@@ -85,3 +85,21 @@ def test_sales_of_a_sku_shuffle_narrow_lines_once_by_payer(layers):
 def test_lines_without_a_time_stay_in_the_source(layers):
     times = {(r.order_detail_id, r.create_time) for r in layers.src.order_detail.collect()}
     assert len(times) == 16 and {d for d, t in times if t is None} == {21, 41, 42}
+
+
+def test_deduplicated_messages_are_shuffled_before_their_texts_are_written(layers):
+    layers.spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    lines = plan(layers.deduplicated_log()).splitlines()
+    texts = [i for i, x in enumerate(lines) if "AS value#" in x]
+    dedup = [i for i, x in enumerate(lines) if "Exchange hashpartitioning(event_type" in x]
+    # The plan is printed from the result down.
+    assert texts and len(dedup) == 1 and max(texts) < dedup[0]
+
+
+def test_deduplicated_messages_are_those_of_the_log(layers):
+    once, log = layers.deduplicated_log(), layers.log().drop("arrival_time")
+    assert once.columns == log.columns
+    assert once.schema == log.schema
+    messages = sorted(map(str, log.collect()))
+    assert sorted(map(str, once.collect())) == messages
+    assert layers.resent_log().count() > len(messages) > 0
