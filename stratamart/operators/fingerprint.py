@@ -33,19 +33,28 @@ def row_text(schema: StructType) -> Column:
     )
 
 
-def _part(text: Column, first: int) -> Column:
-    return F.conv(F.substring(F.md5(text), first, 8), 16, 10).cast("decimal(20,0)")
+def _parts(text: Column) -> Column:
+    """The first 64 bits of the MD5, which hold both parts, as a signed number."""
+    return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("bigint")
+
+
+def _sum(part: Column) -> Column:
+    """Exact sum of 32-bit numbers, in halves: as decimals they would cost more than
+    the texts, and as whole numbers overflow 64 bits at two billion rows."""
+    high, low = F.shiftright(part, 16), part.bitwiseAND(F.lit(0xFFFF))
+    whole = [F.coalesce(F.sum(half), F.lit(0)).cast("decimal(20,0)") for half in (high, low)]
+    return (whole[0] * F.lit(1 << 16).cast("decimal(5,0)") + whole[1]).cast("decimal(38,0)")
 
 
 def fingerprint(df: DataFrame, schema: StructType, by: Sequence[Column | str] = ()) -> DataFrame:
     """``row_count``, ``hash_a``, ``hash_b`` of each slice; combined before the shuffle."""
-    text = row_text(schema)
-    return df.groupBy(*by).agg(
+    slices = [F.col(c) if isinstance(c, str) else c for c in by]
+    rows = df.select(*slices, _parts(row_text(schema)).alias("_parts"))
+    parts = F.col("_parts")
+    return rows.groupBy(*rows.columns[:-1]).agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[
-            F.coalesce(F.sum(_part(text, first)), F.lit(0)).cast("decimal(38,0)").alias(name)
-            for name, first in (("hash_a", 1), ("hash_b", 9))
-        ],
+        _sum(F.shiftrightunsigned(parts, 32)).alias("hash_a"),
+        _sum(parts.bitwiseAND(F.lit(0xFFFFFFFF))).alias("hash_b"),
     )
 
 

@@ -1,10 +1,12 @@
 """Fingerprints: independent of order, sensitive to every change, held against the source."""
 
 import datetime as dt
+import hashlib
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import facts as f
 from stratamart import jobs
@@ -122,3 +124,25 @@ def test_a_reader_that_loses_doubles_or_changes_a_row_is_refused(spark, warehous
         jobs.load_day(spark, Source(spark, alter), f.DS)
     assert {i.target: tables.current_path(spark, i.target, f.DS) for i in INGESTS} == before
     assert tables.read_partition(spark, "ods.ods_order_info_di", f.DS).count() == 5
+
+
+def test_sums_are_those_of_both_parts_of_the_md5(spark):
+    schema = StructType.fromDDL("id bigint, name string")
+    rows = [(k, None if k % 5 == 0 else f"n{k}") for k in range(200)]
+    text = lambda v: "-" if v is None else f"{len(str(v))}:{v}"
+    digests = [hashlib.md5("".join(map(text, r)).encode()).hexdigest() for r in rows]
+    assert any(int(d[0], 16) > 7 for d in digests) and any(int(d[8], 16) > 7 for d in digests)
+    df = spark.createDataFrame(rows, schema)
+    got = fingerprint(df, schema)
+    assert tuple(got.select(*SUMS).first()) == (
+        200, sum(int(d[:8], 16) for d in digests), sum(int(d[8:16], 16) for d in digests))
+    assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "decimal(38,0)", "decimal(38,0)"]
+    assert tuple(fingerprint(df.limit(0), schema).select(*SUMS).first()) == (0, 0, 0)
+
+
+def test_each_row_is_hashed_once_and_summed_as_whole_numbers(spark):
+    schema = StructType.fromDDL("id bigint, name string")
+    df = fingerprint(spark.createDataFrame([(1, "a")], schema), schema)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("md5(") == 1
+    assert "sum(cast(conv" not in text
