@@ -65,3 +65,21 @@ def test_windows_hold_each_id_once():
             for j in ids[ids < lm_score.ALONE]:
                 company[i, j] += 1
     assert (lm_score.company_of(windows[:, 1:], order) == company).all()
+
+
+def test_company_counts_the_frequent_ids_of_each_window():
+    rng = np.random.default_rng(3)
+    windows = rng.integers(-2, 300, (50, 9))
+    windows[rng.random(windows.shape) < 0.05] = lm_score.END
+    counts = np.bincount(windows[(windows >= 0) & (windows < lm_score.END)], minlength=lm_score.PIECES)
+    order = lm_score.usual_ids(counts)
+    expected = np.zeros((lm_score.PIECES, lm_score.ALONE))
+    usual = {int(x): i for i, x in enumerate(order[: lm_score.ALONE])}
+    for window in windows.tolist():
+        real = [x for x in window if 0 <= x < lm_score.END]
+        for x in real:
+            for other in real:
+                if other in usual:
+                    expected[x, usual[other]] += 1
+    assert (lm_score.company_of(windows, order) == expected).all()
+    assert not lm_score.company_of(windows[:0], order).any()
