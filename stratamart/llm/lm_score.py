@@ -41,7 +41,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +55,8 @@ ALONE = 39
 KINDS = (12, 8, 2, 2)
 #: Rounds of clustering by company, and the weight of the average company.
 ROUNDS, AVERAGE = 12, 20.0
+#: Bits of a count of company.
+THIRD = 21
 DIMS = 16
 WINDOW = 32
 STEP = WINDOW // 2
@@ -63,20 +65,23 @@ SAMPLE = 2000
 PER_DOCUMENT = 16
 STEPS = 1500
 BATCH = 128
-#: Rate of the steps over all training windows, and windows that a task holds at once
-#: (of which a count in a chunk fits 32 bits).
+#: Rows of a product of narrow matrices: about the most that BLAS multiplies without packing.
+CHUNK = 128
+#: Rate of the steps over all training windows, and windows that a task holds at once.
 RATE = 0.002
 WINDOWS_HELD = 4096
+#: Ids with the class before them that a task gathers before it counts them.
+PAIRS_HELD = 1_000_000
 #: Weight of the frequent words in the mixture.
 SHARE = 0.75
 #: Pseudo-count of an id's chance without the class before it.
 PRIOR = 20.0
 #: A word with at least 1 / FREQUENT of all tokens is sent to the tasks.
 FREQUENT = 1_000_000
-#: Words that a task gathers before it hands on their counts.
+#: Words that a task gathers before it hands on their counts; bytes, ids at once.
 HELD = 500_000
 BATCH_CHARS = 2_000_000
-HASH_SEED = 42  # of Spark's xxhash64
+BATCH_IDS = 800_000
 END = PIECES
 #: Scores are cut here before their exponentials are summed, lest these overflow.
 TOP = np.float32(60)
@@ -88,33 +93,58 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w, HASH_SEED) for w in words], np.uint64).view(np.int64)
+def keys_of(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words, whose ids begin at ``first``: sums of their ids times odd
+    numbers drawn for each place in a word, mixed."""
+    if not len(first):
+        return np.zeros(0, np.int64)
+    size = np.diff(first, append=len(ids))
+    place = np.arange(len(ids), dtype=np.int64) - np.repeat(first, size)
+    factor = scrambled(np.arange(1, int(size.max()) + 1).astype(np.uint64)) | np.uint64(1)
+    return scrambled(np.add.reduceat((ids + 1).astype(np.uint64) * factor[place], first)).view(np.int64)
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """(word, count) over all texts, summed in the tasks before the shuffle."""
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """Whole numbers of 64 bits spread over all of them, one to one."""
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"]
-            )
-            found.clear()
-            return out
+def packed(ids: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Pieces of ``ids``, ``size`` long each, as binary rows of 16-bit numbers."""
+    borders = np.append(0, 2 * np.cumsum(size)).astype(np.int32)
+    data = pa.py_buffer(ids.astype(np.uint16).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(borders), data])
+
+
+def unpacked(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows and the number of each row's."""
+    data, borders = flat_bytes(rows)
+    return data.view(np.uint16).astype(np.int64), np.diff(borders) // 2
+
+
+def flat_bytes(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all rows (null: none) and the borders between them, from 0."""
+    rows = pc.fill_null(rows.cast(pa.large_binary()), b"")
+    _, borders, data = rows.buffers()
+    borders = np.frombuffer(borders, np.int64)[rows.offset : rows.offset + len(rows) + 1] if len(rows) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return data[borders[0] : borders[-1]], borders - borders[0]
 
-        for batch in batches:
-            for text in batch.column(0):
-                found.update(words_of(text.as_py()))
-                if len(found) > HELD:
-                    yield flush()
-        if found:
-            yield flush()
 
-    parts = docs.select("text").mapInArrow(work, "word binary, n long")
-    return parts.groupBy("word").agg(F.sum("n").alias("n"))
+def words_in(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``words_of`` finds in texts within ``borders`` of their bytes: these with A-Z
+    lower-cased, where each word begins and ends, and the number of words of each text."""
+    data = data + np.uint8(32) * (data - np.uint8(65) < 26)
+    inside = ~((data == 32) | (data - np.uint8(9) < 5))
+    edge = np.append(True, ~inside)
+    edge[borders] = True
+    first = np.flatnonzero(inside & edge[:-1])
+    edge = np.append(~inside, True)
+    edge[borders] = True
+    last = np.flatnonzero(inside & edge[1:]) + 1
+    return data, first, last, np.diff(np.searchsorted(first, borders))
 
 
 def clusters(company: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
@@ -138,8 +168,20 @@ def usual_ids(counts: np.ndarray) -> np.ndarray:
     return np.argsort(-counts, kind="stable")
 
 
-def company_of(windows: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """How often the ``ALONE`` frequent ids share a window with each id (negative, END: none)."""
+def company_of(windows: np.ndarray, order: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    """How often the ``ALONE`` frequent ids share a window with each id (negative, END: none);
+    added to ``out``, where given."""
+    out = np.zeros((PIECES, ALONE)) if out is None else out
+    # An id and a frequent one that share windows of n do so n * n / 4 times in each at most:
+    # counts of that many windows fit a third of 64 bits.
+    most = ((1 << THIRD) - 1) // max(1, windows.shape[1] ** 2 // 4)
+    for begin in range(0, len(windows), most):
+        add_company(windows[begin : begin + most], order, out)
+    return out
+
+
+def add_company(windows: np.ndarray, order: np.ndarray, out: np.ndarray) -> None:
+    """One step of ``company_of``."""
     real = (windows >= 0) & (windows < END)
     at, ids = np.nonzero(real)[0], windows[real]
     place = np.full(PIECES, -1)
@@ -148,17 +190,20 @@ def company_of(windows: np.ndarray, order: np.ndarray) -> np.ndarray:
     usual = here >= 0
     around = np.bincount(at[usual] * ALONE + here[usual], minlength=len(windows) * ALONE)
     around = around.reshape(-1, ALONE).astype(np.int32)
-    out = np.zeros((PIECES, ALONE))
     # Frequent ids, near half of all, by a product (whole numbers below 2**53); the rest in
-    # the order of their ids, which 16 bits hold. Counts of a chunk of windows fit 32 bits.
-    out[order[:ALONE]] = around.T.astype(float) @ around
+    # the order of their ids, which 16 bits hold, three counts in a number.
+    out[order[:ALONE]] += around.T.astype(float) @ around
     at, ids = at[~usual], ids[~usual]
     if len(ids):
         turn = np.argsort(ids.astype(np.uint16), kind="stable")
         first = np.flatnonzero(np.diff(ids[turn], prepend=-1))
+        three = np.zeros((len(around), -(-ALONE // 3) * 3), np.int64)
+        three[:, :ALONE] = around
+        three = three.reshape(len(around), -1, 3) @ (1 << THIRD * np.arange(3))
         # Sums along rows are much faster than down columns.
-        out[ids[turn][first]] = np.add.reduceat(around.T.copy().take(at[turn], axis=1), first, axis=1).T
-    return out
+        sums = np.add.reduceat(three.T.copy().take(at[turn], axis=1), first, axis=1).T
+        sums = sums[:, :, None] >> THIRD * np.arange(3) & (1 << THIRD) - 1
+        out[ids[turn][first]] += sums.reshape(len(first), -1)[:, :ALONE]
 
 
 def classes_from(
@@ -194,46 +239,20 @@ def class_of_ids(windows: np.ndarray, table_: dict[bytes, int], begins: np.ndarr
     return classes_from(counts, company_of(windows, order), order, table_, begins)
 
 
-def begin_ids(encoder, begins: np.ndarray, words: list[bytes]) -> np.ndarray:
-    """The id that begins each word."""
-    flat = piece_ids(encoder, words)[:-1]
-    return flat[begins[flat]]
-
-
-def begin_id(word: Column, begins: np.ndarray, vocabulary: Broadcast) -> Column:
-    @F.pandas_udf("int")
-    def first(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = encoding(vocabulary.value)
-        for batch in batches:
-            yield pd.Series(begin_ids(encoder, begins, list(batch)), dtype="int32")
-
-    return first(word)
+def begin_flags(table_: dict[bytes, int]) -> np.ndarray:
+    """Whether an id, or the end, begins a word."""
+    begins = np.zeros(PIECES + 1, bool)
+    for piece, rank in table_.items():
+        begins[rank] = b" " in piece
+    begins[END] = True
+    return begins
 
 
-def id_chances(
-    words: DataFrame, ends: int, of: np.ndarray, begins: np.ndarray, vocabulary: Broadcast
-) -> np.ndarray:
-    """log10 p(id | class, class before it) over all training rows, from the word
-    counts; row ``CLASSES`` is for ids that begin a word. CLASSES + 1 rows of
+def id_chances(n: np.ndarray, ends: int, of: np.ndarray) -> np.ndarray:
+    """log10 p(id | class, class before it) from the counts ``n`` of all training rows;
+    row ``CLASSES`` is for ids that begin a word. CLASSES + 1 rows of
     PIECES + 1 ids: a fixed size."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = encoding(vocabulary.value), np.zeros((CLASSES + 1) * PIECES)
-        for batch in batches:
-            flat = piece_ids(encoder, batch.column(0).to_pylist())[:-1]
-            if len(flat):
-                # One id of each word holds the space before it.
-                first = begins[flat]
-                before = np.where(first, CLASSES, np.append(CLASSES, of[flat[:-1]]))
-                times = batch.column(1).to_numpy()[np.cumsum(first) - 1]
-                total += np.bincount(before * PIECES + flat, weights=times, minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["at", "n"])
-
-    rows = words.select("word", "n").mapInArrow(work, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros((CLASSES + 1) * PIECES)
-    n[rows["at"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
-    n = np.hstack([n.reshape(CLASSES + 1, PIECES), np.zeros((CLASSES + 1, 1))])
+    n = np.hstack([n, np.zeros((CLASSES + 1, 1))])
     alone = n.sum(0) + 0.5
     alone[END] += ends
     chance = alone / np.bincount(of, weights=alone, minlength=CLASSES)[of]
@@ -245,30 +264,45 @@ def id_chances(
 
 
 def times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """``x @ w`` as one product of matrices, not one for each window."""
-    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
+    """``x @ w`` over all tokens, not window by window, in chunks (``CHUNK``)."""
+    flat = x.reshape(-1, x.shape[-1])
+    some, out = len(flat) // CHUNK * CHUNK, np.empty((len(flat), w.shape[1]), np.float32)
+    np.matmul(flat[:some].reshape(-1, CHUNK, x.shape[-1]), w, out=out[:some].reshape(-1, CHUNK, w.shape[1]))
+    np.matmul(flat[some:], w, out=out[some:])
+    return out.reshape(*x.shape[:-1], w.shape[1])
 
 
 def outer(x: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Sum over all tokens of windows of the products of ``x`` and ``d``."""
-    return x.reshape(-1, x.shape[-1]).T @ d.reshape(-1, d.shape[-1])
+    """Sum over all tokens of windows of the products of ``x`` and ``d``, in chunks."""
+    x, d = x.reshape(-1, x.shape[-1]), d.reshape(-1, d.shape[-1])
+    some = len(x) // CHUNK * CHUNK
+    parts = x[:some].reshape(-1, CHUNK, x.shape[1]).transpose(0, 2, 1) @ d[:some].reshape(-1, CHUNK, d.shape[1])
+    return parts.sum(0) + x[some:].T @ d[some:]
+
+
+def turned(x: np.ndarray) -> np.ndarray:
+    """Windows with rows and columns exchanged, in that order in memory: products with
+    a second factor that is only seen so take twice as long."""
+    return x.transpose(0, 2, 1).copy()
 
 
 class Adam:
-    """Steps along gradients, changing the weights in place."""
+    """Steps along gradients, changing the weights in place: views of one array from now on."""
 
     def __init__(self, w: dict[str, np.ndarray]):
-        self.w, self.steps = w, 0
-        self.first = {n: np.zeros_like(v) for n, v in w.items()}
-        self.second = {n: np.zeros_like(v) for n, v in w.items()}
+        self.names, self.steps = list(w), 0
+        self.w = np.concatenate([w[n].ravel() for n in w])
+        for n, part in zip(self.names, np.split(self.w, np.cumsum([w[n].size for n in w])[:-1])):
+            w[n] = part.reshape(w[n].shape)
+        self.first, self.second = np.zeros_like(self.w), np.zeros_like(self.w)
 
     def step(self, grads: dict[str, np.ndarray], rate: float) -> None:
         self.steps += 1
-        for n, g in grads.items():
-            self.first[n] = 0.9 * self.first[n] + 0.1 * g
-            self.second[n] = 0.99 * self.second[n] + 0.01 * g * g
-            mean, spread = self.first[n] / (1 - 0.9**self.steps), self.second[n] / (1 - 0.99**self.steps)
-            self.w[n] -= (rate * mean / (np.sqrt(spread) + 1e-8)).astype(np.float32)
+        g = np.concatenate([grads[n].ravel() for n in self.names])
+        self.first = 0.9 * self.first + 0.1 * g
+        self.second = 0.99 * self.second + 0.01 * g * g
+        mean, spread = self.first / (1 - 0.9**self.steps), self.second / (1 - 0.99**self.steps)
+        self.w -= (rate * mean / (np.sqrt(spread) + 1e-8)).astype(np.float32)
 
 
 @dataclass
@@ -293,66 +327,110 @@ class Attention:
             }
             self.w = {n: (rng.normal(0, 0.3, s)).astype(np.float32) for n, s in shapes.items()}
 
+    def projection(self) -> np.ndarray:
+        """Of a token to its query, key and value."""
+        return np.concatenate([self.w["q"] * np.float32(DIMS**-0.5), self.w["k"], self.w["v"]], axis=1)
+
     def forward(self, x: np.ndarray, first: int) -> tuple[np.ndarray, dict]:
         """Next-class scores after the inputs ``first:`` of windows (n, length)."""
+        z, s = self.hidden(x)
+        return (z + self.w["top"])[:, first:], s
+
+    def hidden(self, x: np.ndarray) -> tuple[np.ndarray, dict]:
+        """Next-class scores but for their common part (``top``) after all inputs of windows."""
         w, length = self.w, x.shape[1]
         e = np.take(w["embed"], x, axis=0)
         e += w["place"][:length]
-        late = np.ascontiguousarray(e[:, first:])
-        q, k, v = times(late, w["q"] * DIMS**-0.5), times(e, w["k"]), times(e, w["v"])
-        a = q @ k.transpose(0, 2, 1)
-        np.exp(np.minimum(a, TOP, out=a), out=a)
-        a *= np.arange(length) <= np.arange(first, length)[:, None]
-        a /= a @ np.ones((length, 1), np.float32)
+        qkv = times(e, self.projection())
+        # One more value, always 1, sums the weights; one more input is the bias's.
+        v = np.ones((*x.shape, DIMS + 1), np.float32)
+        v[:, :, :DIMS] = qkv[:, :, 2 * DIMS :]
+        a = qkv[:, :, :DIMS] @ turned(qkv[:, :, DIMS : 2 * DIMS])
+        np.exp(np.clip(a, -TOP, TOP, out=a), out=a)
+        a *= np.tri(length, dtype=np.float32)
         c = a @ v
-        h = np.concatenate([late, c], axis=2)
-        g = times(h, w["mix"])
-        g += w["bias"]
-        np.maximum(g, 0, out=g)
-        z = times(g, w["out"])
-        z += w["top"]
-        return z, {"e": e, "q": q, "k": k, "v": v, "a": a, "h": h, "g": g}
-
-    def log_chances(self, x: np.ndarray, y: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        h = np.empty((*x.shape, 2 * DIMS + 1), np.float32)
+        h[:, :, :DIMS] = e
+        np.divide(c, c[:, :, DIMS:], out=h[:, :, DIMS:])
+        g = times(h, np.vstack([w["mix"], w["bias"]]))
+        np.maximum(g, np.zeros_like(g), out=g)
+        return times(g, w["out"]), {"e": e, "qkv": qkv, "v": v, "a": a, "all": c[:, :, DIMS:], "h": h, "g": g}
+
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """For each place and class before it: key; value, with a 1; query; its part of the mixture."""
+        w = self.w
+        e = w["embed"] + w["place"][:, None]
+        qkv = e @ self.projection()
+        v = np.concatenate([qkv[:, :, 2 * DIMS :], np.ones((*e.shape[:2], 1), np.float32)], axis=2)
+        parts = (qkv[:, :, DIMS : 2 * DIMS], v, qkv[:, :, :DIMS], e @ w["mix"][:DIMS] + w["bias"])
+        return tuple(np.ascontiguousarray(x.reshape(-1, x.shape[2])) for x in parts)
+
+    def log_chances(self, x: np.ndarray, y: np.ndarray, first: int, tables=None) -> tuple[np.ndarray, np.ndarray]:
         """log10 p of the classes ``y`` that follow the inputs ``first:``, those of
         a beginning given that a word begins; and log10 p that a word begins."""
-        z, _ = self.forward(x, first)
+        keys, values, queries, own = tables or self.tables()
+        length = x.shape[1]
+        at = x + np.arange(length) * (CLASSES + 1)
+        late = np.ascontiguousarray(at[:, first:])
+        a = keys.take(at, axis=0) @ turned(queries.take(late, axis=0))
+        np.exp(np.clip(a, -TOP, TOP, out=a), out=a)
+        a *= np.tri(length, dtype=np.float32)[first:].T.copy()
+        c = a.transpose(0, 2, 1) @ values.take(at, axis=0)
+        g = times(c[:, :, :DIMS] * (1 / c[:, :, DIMS:]), self.w["mix"][DIMS:])
+        g += own.take(late, axis=0)
+        np.maximum(g, np.zeros_like(g), out=g)
+        z = times(g, self.w["out"]).reshape(-1, CLASSES)
         np.clip(z, -TOP, TOP, out=z)
-        picked = np.take_along_axis(z, y[:, :, None], 2)[:, :, 0]
-        total = np.log(times(np.exp(z, out=z), self.sides))
-        begin = total[:, :, 1] - total[:, :, 0]
-        known = np.where(self.sides[y, 1] > 0, total[:, :, 1], total[:, :, 0])
-        return (picked - known) / np.float32(math.log(10)), begin / np.float32(math.log(10))
+        following, top = y.ravel(), np.clip(self.w["top"], -TOP, TOP)
+        picked = z.ravel().take(np.arange(y.size) * CLASSES + following) + top[following]
+        total = np.log(np.exp(z, out=z) @ (self.sides * np.exp(top)[:, None]))
+        begin = total[:, 1] - total[:, 0]
+        known = np.where(self.sides[:, 1].take(following) > 0, total[:, 1], total[:, 0])
+        ten = np.float32(math.log(10))
+        return ((picked - known) / ten).reshape(y.shape), (begin / ten).reshape(y.shape)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy of the next classes ``y`` of windows."""
         w = self.w
-        z, s = self.forward(x, 0)
-        dz = np.exp(np.clip(z, -TOP, TOP, out=z), out=z)
-        dz /= dz @ np.ones((CLASSES, 1), np.float32)
-        dz.reshape(-1, CLASSES)[np.arange(y.size), y.ravel()] -= 1
-        dz *= (real / max(1, real.sum()))[:, :, None]
-        grads = {"top": dz.sum((0, 1)), "out": outer(s["g"], dz)}
-        dg = times(dz, w["out"].T)
-        dg *= s["g"] > 0
-        grads["bias"] = dg.sum((0, 1))
-        grads["mix"] = outer(s["h"], dg)
-        dh = times(dg, w["mix"].T)
-        # Products of slices that are not contiguous would be slow.
-        de, dc = dh[:, :, :DIMS].copy(), dh[:, :, DIMS:].copy()
-        da = dc @ s["v"].transpose(0, 2, 1)
-        dv = s["a"].transpose(0, 2, 1) @ dc
-        da -= (da * s["a"]) @ np.ones((x.shape[1], 1), np.float32)
+        z, s = self.hidden(x)
+        h, qkv = s["h"], s["qkv"]
+        dz, following = z.reshape(-1, CLASSES), y.ravel()
+        np.exp(np.clip(dz, -TOP, TOP, out=dz), out=dz)
+        # Gradients are ``share * dz * often``, the factors left to the smaller products.
+        often = np.exp(np.clip(w["top"], -TOP, TOP))
+        share = (real / max(1, real.sum())).ravel().astype(np.float32)
+        total = dz @ often
+        dz.ravel()[np.arange(y.size) * CLASSES + following] -= total / often[following]
+        share /= total
+        wide = share.reshape(*y.shape, 1)
+        grads = {"top": share @ dz * often, "out": outer(s["g"] * wide, dz) * often}
+        # The gradients of queries, keys, values and of the mixture stand side by side.
+        d = np.empty((*x.shape, 5 * DIMS), np.float32)
+        dg = times(dz, (w["out"] * often).T.copy()).reshape(s["g"].shape)
+        dg *= (s["g"] > 0) * wide
+        d[:, :, 3 * DIMS :] = dg
+        both = outer(h, dg)
+        grads["mix"], grads["bias"] = both[:-1], both[-1]
+        # Weights ``a`` are not divided by their sums: the gradients of their products are.
+        dc = np.empty((*x.shape, DIMS + 1), np.float32)
+        np.divide(times(dg, w["mix"][DIMS:].T.copy()), s["all"], out=dc[:, :, :DIMS])
+        np.negative((dc[:, :, :DIMS] * h[:, :, DIMS:-1]) @ np.ones(DIMS, np.float32), out=dc[:, :, DIMS])
+        da = dc @ turned(s["v"])
         da *= s["a"]
-        dq, dk = da @ s["k"], da.transpose(0, 2, 1) @ s["q"]
-        for name, d in (("q", dq * np.float32(DIMS**-0.5)), ("k", dk), ("v", dv)):
-            grads[name] = outer(s["e"], d)
-            de += times(d, w[name].T)
-        grads["place"] = np.zeros_like(w["place"])
+        np.matmul(da, qkv[:, :, DIMS : 2 * DIMS], out=d[:, :, :DIMS])
+        np.matmul(da.transpose(0, 2, 1), qkv[:, :, :DIMS], out=d[:, :, DIMS : 2 * DIMS])
+        np.matmul(s["a"].transpose(0, 2, 1), dc[:, :, :DIMS], out=d[:, :, 2 * DIMS : 3 * DIMS])
+        dq, grads["k"], grads["v"] = np.split(outer(s["e"], d[:, :, : 3 * DIMS]), 3, axis=1)
+        grads["q"] = dq * np.float32(DIMS**-0.5)
+        de = times(d, np.vstack([self.projection().T, w["mix"][:DIMS].T]))
+        grads["place"], grads["embed"] = np.zeros_like(w["place"]), np.zeros_like(w["embed"])
         grads["place"][: x.shape[1]] = de.sum(0)
-        chosen = np.zeros((x.size, CLASSES + 1), np.float32)
-        chosen[np.arange(x.size), x.ravel()] = 1
-        grads["embed"] = chosen.T @ de.reshape(-1, DIMS)
+        # Sums of the tokens of each class, in the order of the classes.
+        flat = x.ravel().astype(np.uint8)
+        turn = np.argsort(flat, kind="stable")
+        flat = flat[turn]
+        first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+        grads["embed"][flat[first]] = np.add.reduceat(de.reshape(-1, DIMS).take(turn, axis=0), first, axis=0)
         return grads
 
     def train(self, x: np.ndarray, y: np.ndarray, real: np.ndarray) -> None:
@@ -368,7 +446,7 @@ class Attention:
         beginning there; ``ids`` runs through the texts, whose last positions
         (their ends) are at ``ends - 1``."""
         starts = np.append(0, ends[:-1])
-        classes = self.of[ids]
+        classes, tables = self.of[ids], self.tables()
         # Input t is the class before token t; a text's first input is START.
         inputs = np.append(START, classes[:-1])
         inputs[starts] = START
@@ -377,14 +455,14 @@ class Attention:
         lengths = ends - starts
         # The first window scores up to WINDOW tokens, each later one STEP more.
         later = np.maximum(0, -(-(lengths - WINDOW) // STEP))
-        self.put(out, inputs, classes, starts, np.minimum(lengths, WINDOW), 0)
+        self.put(out, inputs, classes, starts, np.minimum(lengths, WINDOW), 0, tables)
         which = np.repeat(np.arange(len(ends)), later)
         number = np.arange(len(which)) - np.repeat(np.cumsum(later) - later, later)
         begin = starts[which] + (number + 1) * STEP
-        self.put(out, inputs, classes, begin, np.minimum(ends[which] - begin, WINDOW), STEP)
+        self.put(out, inputs, classes, begin, np.minimum(ends[which] - begin, WINDOW), STEP, tables)
         return out[0], inside, out[1]
 
-    def put(self, out, inputs, classes, begin, length, first: int, block: int = 64) -> None:
+    def put(self, out, inputs, classes, begin, length, first: int, tables, block: int = 256) -> None:
         """Put in the class scores of the tokens ``first:`` of windows."""
         for i in range(0, len(begin), block):
             width = int(length[i : i + block].max())
@@ -392,8 +470,9 @@ class Attention:
             real = np.arange(first, width) < length[i : i + block, None]
             at = np.minimum(at, len(inputs) - 1)
             late = at[:, first:]
-            chance, begins = self.log_chances(inputs[at], classes[late], first)
-            out[0][late[real]], out[1][late[real]] = chance[real], begins[real]
+            chance, begins = self.log_chances(inputs[at], classes[late], first, tables)
+            late = late[real]
+            out[0][late], out[1][late] = chance[real], begins[real]
 
 
 def piece_ids(encoder, words: list[bytes]) -> np.ndarray:
@@ -420,30 +499,99 @@ def spelled(
     return ids, np.cumsum(times)[np.cumsum(lengths + 1) - 1]
 
 
-def spelled_rows(docs: DataFrame, begins: np.ndarray, vocabulary: Broadcast) -> DataFrame:
-    """The ids of each text with its end, as 16-bit numbers."""
+class Numbers(dict):
+    """Numbers of keys from 1 on, in the order in which they come."""
+
+    def __missing__(self, key: int) -> int:
+        self[key] = number = len(self) + 1
+        return number
+
+
+class Book:
+    """Words, by their keys, with their ids and counts; word 0 is the end."""
+
+    def __init__(self, encoder, begins: np.ndarray):
+        self.encoder, self.begins, self.numbers = encoder, begins, Numbers()
+        self.ids, self.size, self.n = np.array([END], np.uint16), np.ones(1, np.int32), np.zeros(1, np.int64)
+
+    def read(self, texts: pa.Array, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, each with its end, and how many each has. The words of training
+        texts are counted. As in ``spelled``, each distinct word is encoded once."""
+        data, first, last, lengths = words_in(*flat_bytes(texts))
+        size = last - first
+        inside = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        codes, keys = pd.factorize(keys_of(data[inside], np.cumsum(size) - size))
+        numbers = np.fromiter(map(self.numbers.__getitem__, keys.tolist()), np.int64, len(keys))
+        new = np.flatnonzero(numbers >= len(self.n))
+        if len(new):
+            where = np.empty(len(keys), np.int64)
+            where[codes[::-1]] = np.arange(len(codes))[::-1]
+            self.add([data[i:j].tobytes() for i, j in zip(first[where[new]].tolist(), last[where[new]].tolist())])
+        self.n += np.bincount(numbers[codes[np.repeat(training, lengths)]], minlength=len(self.n))
+        codes = np.insert(numbers[codes], np.cumsum(lengths), 0)
+        size = self.size[codes]
+        begin, ends = np.cumsum(self.size, dtype=np.int64) - self.size, np.cumsum(size, dtype=np.int64)
+        ids = self.ids[np.repeat(begin[codes] - (ends - size), size) + np.arange(int(size.sum()))]
+        return ids, np.diff(ends[np.cumsum(lengths + 1) - 1], prepend=0)
+
+    def add(self, words: list[bytes]) -> None:
+        flat = piece_ids(self.encoder, words)
+        first = np.append(np.flatnonzero(self.begins[flat[:-1]]), len(flat) - 1)
+        self.ids = np.concatenate([self.ids, flat[:-1].astype(np.uint16)])
+        self.size = np.concatenate([self.size, np.diff(first).astype(np.int32)])
+        self.n = np.concatenate([self.n, np.zeros(len(words), np.int64)])
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, counts and first ids of the counted words."""
+        here = np.flatnonzero(self.n[1:]) + 1
+        first = np.cumsum(self.size, dtype=np.int64) - self.size
+        return keys_of(self.ids.astype(np.int64), first)[here], self.n[here], self.ids[first[here]].astype(np.int32)
+
+    def id_counts(self) -> np.ndarray:
+        """How often each id stands in the counted words."""
+        weights = np.repeat(self.n, self.size)[1:]
+        return np.bincount(self.ids[1:], weights=weights, minlength=PIECES).astype(np.int64)
+
+
+def counted(docs: DataFrame, training: Column | None = None, vocabulary: Broadcast | None = None) -> DataFrame:
+    """All texts read once: the ids of each (``ids``) with its end, as 16-bit numbers; in
+    other rows, from the training texts of a task (all, if not said), words by their keys
+    (``word``), with their first ids and counts, and ids (``id`` alone) with theirs."""
+    vocabulary = vocabulary or sent(docs.sparkSession)
+    begins = begin_flags(vocabulary.value)
+    kinds = {"doc_id": pa.int64(), "training": pa.bool_(), "ids": pa.binary(), "word": pa.int64(), "id": pa.int32(), "n": pa.int64()}
+
+    def batch_of(rows: int, **columns) -> pa.RecordBatch:
+        found = [pa.array(columns[k], t) if k in columns else pa.nulls(rows, t) for k, t in kinds.items()]
+        return pa.RecordBatch.from_arrays(found, list(kinds))
+
+    def flushed(book: Book) -> Iterator[pa.RecordBatch]:
+        word, n, id_ = book.counts()
+        yield batch_of(len(n), word=word, id=id_, n=n)
+        n = book.id_counts()
+        id_ = np.flatnonzero(n)
+        yield batch_of(len(id_), id=id_, n=n[id_])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(vocabulary.value)
+        book = Book(encoder, begins)
         for batch in batches:
-            texts, first = batch.column(0), 0
-            while first < len(texts):
-                lists, size, last = [], 0, first
-                while last < len(texts) and size < BATCH_CHARS:
-                    text = texts[last].as_py() or ""
-                    lists.append(words_of(text))
-                    size += len(text)
-                    last += 1
-                lengths = np.array([len(x) for x in lists], np.int64)
-                flat = np.empty(int(lengths.sum()), object)
-                flat[:] = [w for x in lists for w in x]
-                codes, unique = pd.factorize(flat)
-                ids, ends = spelled(encoder, begins, list(unique), codes, lengths)
-                rows = [x.astype(np.uint16).tobytes() for x in np.split(ids, ends[:-1])]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+            borders, first = flat_bytes(batch.column(1))[1], 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(borders, borders[first] + BATCH_CHARS)))
+                some = batch.slice(first, last - first)
+                learned = some.column(2).to_numpy(zero_copy_only=False).astype(bool)
+                rows = packed(*book.read(some.column(1), learned))
+                yield batch_of(len(rows), doc_id=some.column(0), training=learned, ids=rows)
                 first = last
+                if len(book.numbers) > HELD:
+                    yield from flushed(book)
+                    book = Book(encoder, begins)
+        yield from flushed(book)
 
-    return docs.select("text").mapInArrow(work, "ids binary")
+    shape = "doc_id long, training boolean, ids binary, word long, id int, n long"
+    training = F.lit(True) if training is None else training
+    return docs.select(F.col("doc_id").cast("long"), "text", training.alias("training")).mapInArrow(work, shape)
 
 
 def keep_memory() -> None:
@@ -471,76 +619,96 @@ def windows_of(rows: pa.Array) -> Iterator[np.ndarray]:
         yield np.concatenate(parts)
 
 
-def summed(rows: DataFrame, work, size: int) -> np.ndarray:
-    """Counts of ``size`` places that ``work`` takes from the windows of a batch,
-    over all of ``rows``: added up in the tasks, then by place."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_memory()
-        total = np.zeros(size)
-        for batch in batches:
-            for windows in windows_of(batch.column(0)):
-                total += work(windows)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(np.int64))], ["at", "n"])
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """Sums of ``size`` places from rows (at, n) of the tasks, brought together in few rows."""
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [np.ascontiguousarray(batch.column(i).to_numpy(), np.int64).tobytes() for i in (0, 1)]
+            columns = [np.ascontiguousarray(batch.column(i).to_numpy()).tobytes() for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["at", "n"])
 
-    sums = rows.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    sums = parts.groupBy("at").agg(F.sum("n").alias("n"))
     out = np.zeros(size)
-    for row in sums.mapInArrow(packed, "at binary, n binary").collect():
-        out[np.frombuffer(row["at"], np.int64)] = np.frombuffer(row["n"], np.int64)
+    for row in sums.mapInArrow(joined, "at binary, n binary").collect():
+        out[np.frombuffer(row["at"], np.int64)] = np.frombuffer(row["n"], float)
     return out
 
 
-def averaged(rows: DataFrame, model: Attention) -> dict[str, np.ndarray]:
+def places(total: np.ndarray) -> pa.RecordBatch:
+    """Rows (at, n) of the places that are not 0."""
+    at = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at].astype(float))], ["at", "n"])
+
+
+def company_in(rows: DataFrame, order: np.ndarray) -> np.ndarray:
+    """``company_of`` the windows of all ``rows``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
+        total = np.zeros((PIECES, ALONE))
+        for batch in batches:
+            for ids in windows_of(batch.column(0)):
+                company_of(ids[:, 1:], order, total)
+        yield places(total.ravel())
+
+    return summed(rows.mapInArrow(work, "at long, n double"), PIECES * ALONE).reshape(PIECES, ALONE)
+
+
+def averaged(rows: DataFrame, model: Attention) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Weights after a pass over all windows of ``rows``: each task goes on from the
-    given ones through its windows, and the tasks' weights are averaged by windows."""
+    given ones through its windows, and the tasks' weights are averaged by windows.
+    Besides, how often each id follows each class within a word."""
     names = sorted(model.w)
     of, begins, start = model.of, model.begins, {n: model.w[n] for n in names}
+    marked = np.append(of, [of[0], START]).astype(np.uint8)  # -2 and -1: its last places
+    goes_on = np.append(~begins, [False, False])
+    size = sum(start[n].size for n in names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Attention(of, np.zeros((1, 1), np.float32), begins, {n: v.copy() for n, v in start.items()})
         keep_memory()
         adam, rng, seen = Adam(own.w), np.random.default_rng(7), 0
+        pairs, found = np.zeros(CLASSES * PIECES, np.int64), []
         for batch in batches:
             for ids in windows_of(batch.column(0)):
-                classes = np.where(ids == -1, START, of[np.maximum(ids, 0)])
+                classes, real = marked[ids], ids[:, 1:] >= 0
+                within = goes_on[ids[:, 1:]]
+                found.append(classes[:, :-1][within].astype(np.int64) * PIECES + ids[:, 1:][within])
+                if sum(map(len, found)) > PAIRS_HELD:
+                    pairs += np.bincount(np.concatenate(found), minlength=len(pairs))
+                    found.clear()
                 turn = rng.permutation(len(ids))
+                classes, real = classes[turn], real[turn]
                 for i in range(0, len(ids), BATCH):
-                    at = turn[i : i + BATCH]
-                    y = np.minimum(classes[at, 1:], CLASSES - 1)
-                    grads = own.gradients(classes[at, :-1], y, (ids[at, 1:] >= 0).astype(np.float32))
+                    x = classes[i : i + BATCH]
+                    y = np.minimum(x[:, 1:], CLASSES - 1)
+                    grads = own.gradients(x[:, :-1], y, real[i : i + BATCH].astype(np.float32))
                     # A rest smaller than a batch counts for less.
-                    adam.step(grads, RATE * len(at) / BATCH)
+                    adam.step(grads, RATE * len(x) / BATCH)
                 seen += len(ids)
         if seen:
             flat = np.concatenate([own.w[n].ravel() for n in names]).astype(float)
-            columns = [pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), seen))]
-            yield pa.RecordBatch.from_arrays(columns, ["at", "w", "n"])
-
-    sums = rows.mapInArrow(work, "at long, w double, n long").groupBy("at").agg((F.sum("w") / F.sum("n")).alias("w"))
-    found = sums.orderBy("at").toPandas()["w"].to_numpy(np.float32)
-    ends = np.cumsum([start[n].size for n in names])
-    return {n: part.reshape(start[n].shape) for n, part in zip(names, np.split(found, ends[:-1]))}
-
-
-def fit(docs: DataFrame, words: DataFrame, ends: int, vocabulary: Broadcast) -> Attention:
-    """Classes from the ids of all training rows; weights started on windows of at most
-    ``SAMPLE`` documents, drawn by hash, then trained on those of all rows."""
-    begins = np.zeros(PIECES + 1, bool)
-    for piece, rank in vocabulary.value.items():
-        begins[rank] = b" " in piece
-    begins[END] = True
-    rows = stored(spelled_rows(docs, begins, vocabulary))
-    counts = summed(rows, lambda ids: np.bincount(ids[:, 1:][ids[:, 1:] >= 0], minlength=PIECES + 1), PIECES + 1)[:PIECES]
+            pairs += np.bincount(np.concatenate([*found, []]).astype(np.int64), minlength=len(pairs))
+            yield places(np.concatenate([flat * seen, [seen], pairs]))
+
+    sums = summed(rows.mapInArrow(work, "at long, n double"), size + 1 + CLASSES * PIECES)
+    found = np.split((sums[:size] / sums[size]).astype(np.float32), np.cumsum([start[n].size for n in names])[:-1])
+    weights = {n: part.reshape(start[n].shape) for n, part in zip(names, found)}
+    return weights, sums[size + 1 :].reshape(CLASSES, PIECES)
+
+
+def fit(docs: DataFrame, read: DataFrame, ends: int, vocabulary: Broadcast) -> Attention:
+    """Classes from the ids of all training rows ``docs``, read before (``counted``); weights
+    started on windows of at most ``SAMPLE`` documents, drawn by hash, then trained on those
+    of all rows."""
+    begins = begin_flags(vocabulary.value)
+    rows = read.filter(F.col("training")).select("ids")
+    alone = read.filter(F.col("id").isNotNull() & F.col("word").isNull())
+    counts = summed(alone.select(F.col("id").cast("long").alias("at"), F.col("n").cast("double").alias("n")), PIECES)
     order = usual_ids(counts)
-    company = summed(rows, lambda ids: company_of(ids[:, 1:], order).ravel(), PIECES * ALONE).reshape(PIECES, ALONE)
-    of = classes_from(counts, company, order, vocabulary.value, begins)
-    model = Attention(of, id_chances(words, ends, of, begins, vocabulary), begins)
+    of = classes_from(counts, company_in(rows, order), order, vocabulary.value, begins)
+    model = Attention(of, np.zeros((1, 1), np.float32), begins)
+    pairs = np.zeros((CLASSES, PIECES))
     chosen = drawn(docs, SAMPLE)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -560,45 +728,45 @@ def fit(docs: DataFrame, words: DataFrame, ends: int, vocabulary: Broadcast) ->
     if len(ids):
         classes = np.where(ids == -1, START, of[np.maximum(ids, 0)])
         model.train(classes[:, :-1], np.minimum(classes[:, 1:], CLASSES - 1), (ids[:, 1:] >= 0).astype(np.float32))
-        model.w = averaged(rows, model)
+        model.w, pairs = averaged(rows, model)
+    model.inside = id_chances(np.vstack([pairs, counts * begins[:PIECES]]), ends, of)
     return model
 
 
-def scored(
-    docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray], model: Attention, vocabulary: Broadcast
-) -> DataFrame:
-    """Per row: tokens, sums over frequent words, model score, and the other words."""
+def scored(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray, np.ndarray], model: Attention) -> DataFrame:
+    """Per row of ids: tokens, sums over frequent words, model score, and the other words."""
     known, chances, among = frequent
     share, rest = math.log10(SHARE), math.log10(1 - SHARE)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_memory()
-        encoder = encoding(vocabulary.value)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             first = 0
             while first < len(texts):
                 # Equal texts are scored once.
                 last, size, own, distinct = first, 0, [], {}
-                while last < len(texts) and size < BATCH_CHARS:
-                    text = texts[last].as_py() or ""
+                while last < len(texts) and size < 2 * BATCH_IDS:
+                    text = texts[last].as_py()
                     if text not in distinct:
                         distinct[text] = len(distinct)
                         size += len(text)
                     own.append(distinct[text])
                     last += 1
-                found = part(encoder, [words_of(t) for t in distinct]).take(pa.array(own))
+                found = part(list(distinct)).take(pa.array(own))
                 columns = [ids.slice(first, last - first), *found.columns]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *found.schema.names])
                 first = last
 
-    def part(encoder, lists: list[list[bytes]]) -> pa.RecordBatch:
-        n = len(lists)
-        lengths = np.array([len(x) for x in lists], np.int64)
-        flat = np.empty(int(lengths.sum()), object)
-        flat[:] = [w for x in lists for w in x]
-        codes, unique = pd.factorize(flat)
-        keys = hashes(list(unique))
+    def part(texts: list[bytes]) -> pa.RecordBatch:
+        n = len(texts)
+        ids_ = np.frombuffer(b"".join(texts), np.uint16).astype(np.int64)
+        ends = np.cumsum([len(x) // 2 for x in texts])
+        # One id of each word holds the space before it; the end is a word too.
+        at = np.flatnonzero(model.begins[ids_])
+        last = np.searchsorted(at, ends) - 1
+        lengths = np.diff(last, prepend=-1) - 1
+        codes, keys = pd.factorize(np.delete(keys_of(ids_, at), last))
         spot = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
         here = known[spot] == keys if len(known) else np.zeros(len(keys), bool)
         doc = np.repeat(np.arange(n), lengths)
@@ -609,13 +777,9 @@ def scored(
         pairs, times = np.unique(doc[~often] * max(1, len(keys)) + codes[~often], return_counts=True)
         of, word = pairs // max(1, len(keys)), keys[pairs % max(1, len(keys))] if len(keys) else pairs
         borders = np.append(0, np.cumsum(np.bincount(of, minlength=n))).astype(np.int32)
-        ids_, ends = spelled(encoder, model.begins, list(unique), codes, lengths)
-        # One id of each word holds the space before it; the end is a word too.
-        at = np.flatnonzero(model.begins[ids_])
         chance, inside, begin = model.scores(ids_, ends)
         first = chance[at]
         chance[at] = 0
-        last = np.cumsum(lengths + 1) - 1
         # A spelled word goes on to where the next begins; nothing comes after the end.
         over = np.append(begin[at[1:]], 0.0)
         over[last] = 0
@@ -635,7 +799,7 @@ def scored(
         )
 
     shape = "doc_id long, n_tokens long, seen long, base double, score double, rare array<struct<word:long,times:int>>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, shape)
+    return rows.select("doc_id", "ids").mapInArrow(work, shape)
 
 
 def score(docs: DataFrame, held_out) -> DataFrame:
@@ -644,28 +808,29 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     vocabulary = sent(spark)
     out = F.coalesce(held_out, F.lit(False))
     training = docs.filter(~out)
-    words = stored(counted(training))
+    read = stored(counted(docs, ~out, vocabulary))
+    texts = read.filter(F.col("ids").isNotNull())
+    # Words of one key, up to chance copies of one word.
+    parts = read.filter(F.col("word").isNotNull()).groupBy("word")
+    words = stored(parts.agg(F.sum("n").alias("n"), F.min("id").alias("id")))
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).first()
-    ends = training.count()
+    ends = texts.filter("training").count()
     total, distinct = (sums.n or 0) + ends, sums.distinct + (ends > 0)
     scale = total + 0.5 * (distinct + 1)
-    keyed = words.select(F.xxhash64("word").alias("word"), "n")
     # A word with 1 / FREQUENT of the tokens: FREQUENT of them at most.
     end = math.log10((ends + 0.5) / scale)
-    model = fit(training, words, ends, vocabulary)
-    common = words.filter(F.col("n") * FREQUENT >= total)
-    found = common.select(F.xxhash64("word").alias("word"), "n", begin_id(F.col("word"), model.begins, vocabulary).alias("id"))
-    often = found.groupBy("word").agg(F.sum("n").alias("n"), F.min("id").alias("id")).orderBy("word").toPandas()
+    model = fit(training, read, ends, vocabulary)
+    often = words.filter(F.col("n") * FREQUENT >= total).orderBy("word").toPandas()
     times = often["n"].to_numpy(float) + 0.5
     class_ = model.of[often["id"].to_numpy(np.int64)]
     # A frequent word among those that begin with its class.
     among = np.log10(times / np.bincount(class_, weights=times, minlength=CLASSES)[class_])
     frequent = (often["word"].to_numpy(np.int64), np.log10(times / scale), among)
-    rows = stored(scored(docs, frequent, model, vocabulary).withColumn("row", F.monotonically_increasing_id()))
+    rows = stored(scored(texts, frequent, model).withColumn("row", F.monotonically_increasing_id()))
     exploded = rows.select("row", F.explode("rare").alias("rare")).select("row", "rare.word", "rare.times")
-    seldom = keyed.filter(F.col("n") * FREQUENT < total).groupBy("word").agg(F.sum("n").alias("n"))
+    seldom = words.filter(F.col("n") * FREQUENT < total).select("word", "n")
     count = F.coalesce(F.col("n"), F.lit(0))
-    met = exploded.join(stored(seldom), "word", "left").groupBy("row").agg(
+    met = exploded.join(seldom, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10((count + 0.5) / F.lit(scale))).alias("rare_base"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_seen"),
     )
