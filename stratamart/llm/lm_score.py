@@ -4,7 +4,7 @@ Base: words between white space (A-Z lower-cased) and an end, each with
 log10((c + 0.5) / (N + 0.5 (V + 1))), c counted over all training rows. Counts
 of words with a millionth of all tokens or more (a million at most) go to the
 tasks; the other words of each document meet their counts by a join, so the
-vocabulary may grow with the corpus.
+vocabulary may grow with the corpus. Texts are read and encoded once.
 
 Model: the words, joined by single spaces, become subword ids of a public
 vocabulary, then an end. Ids fall into ``CLASSES`` classes (frequent ones alone,
@@ -25,7 +25,7 @@ begin with the class, by their counts, and the rest of the product over its ids
 and its ending. The score is the sum of the words' log10 probabilities and the
 end's: that of the text's own segmentation.
 
-Words are told apart by 64-bit hashes. Defined results: null texts are empty
+Words are told apart by 64-bit hashes of them and of their ids. Defined results: null texts are empty
 ones (just an end); rows without doc_id are training rows, not held out;
 repeated rows are scored each; without training rows N and V are 0 and all
 classes are equally likely; an empty table gives an empty one.
@@ -268,7 +268,8 @@ def times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     flat = x.reshape(-1, x.shape[-1])
     some, out = len(flat) // CHUNK * CHUNK, np.empty((len(flat), w.shape[1]), np.float32)
     np.matmul(flat[:some].reshape(-1, CHUNK, x.shape[-1]), w, out=out[:some].reshape(-1, CHUNK, w.shape[1]))
-    np.matmul(flat[some:], w, out=out[some:])
+    if some < len(flat):
+        np.matmul(flat[some:], w, out=out[some:])
     return out.reshape(*x.shape[:-1], w.shape[1])
 
 
@@ -277,7 +278,7 @@ def outer(x: np.ndarray, d: np.ndarray) -> np.ndarray:
     x, d = x.reshape(-1, x.shape[-1]), d.reshape(-1, d.shape[-1])
     some = len(x) // CHUNK * CHUNK
     parts = x[:some].reshape(-1, CHUNK, x.shape[1]).transpose(0, 2, 1) @ d[:some].reshape(-1, CHUNK, d.shape[1])
-    return parts.sum(0) + x[some:].T @ d[some:]
+    return parts.sum(0) + x[some:].T @ d[some:] if some < len(x) else parts.sum(0)
 
 
 def turned(x: np.ndarray) -> np.ndarray:
@@ -342,19 +343,17 @@ class Attention:
         e = np.take(w["embed"], x, axis=0)
         e += w["place"][:length]
         qkv = times(e, self.projection())
-        # One more value, always 1, sums the weights; one more input is the bias's.
-        v = np.ones((*x.shape, DIMS + 1), np.float32)
-        v[:, :, :DIMS] = qkv[:, :, 2 * DIMS :]
         a = qkv[:, :, :DIMS] @ turned(qkv[:, :, DIMS : 2 * DIMS])
         np.exp(np.clip(a, -TOP, TOP, out=a), out=a)
         a *= np.tri(length, dtype=np.float32)
-        c = a @ v
+        a *= 1 / (a @ np.ones((length, 1), np.float32))
+        # One more input is the bias's.
         h = np.empty((*x.shape, 2 * DIMS + 1), np.float32)
-        h[:, :, :DIMS] = e
-        np.divide(c, c[:, :, DIMS:], out=h[:, :, DIMS:])
+        h[:, :, :DIMS], h[:, :, 2 * DIMS] = e, 1
+        np.matmul(a, qkv[:, :, 2 * DIMS :], out=h[:, :, DIMS : 2 * DIMS])
         g = times(h, np.vstack([w["mix"], w["bias"]]))
-        np.maximum(g, np.zeros_like(g), out=g)
-        return times(g, w["out"]), {"e": e, "qkv": qkv, "v": v, "a": a, "all": c[:, :, DIMS:], "h": h, "g": g}
+        np.clip(g, 0, np.inf, out=g)
+        return times(g, w["out"]), {"e": e, "qkv": qkv, "a": a, "h": h, "g": g}
 
     def tables(self) -> tuple[np.ndarray, ...]:
         """For each place and class before it: key; value, with a 1; query; its part of the mixture."""
@@ -378,7 +377,7 @@ class Attention:
         c = a.transpose(0, 2, 1) @ values.take(at, axis=0)
         g = times(c[:, :, :DIMS] * (1 / c[:, :, DIMS:]), self.w["mix"][DIMS:])
         g += own.take(late, axis=0)
-        np.maximum(g, np.zeros_like(g), out=g)
+        np.clip(g, 0, np.inf, out=g)
         z = times(g, self.w["out"]).reshape(-1, CLASSES)
         np.clip(z, -TOP, TOP, out=z)
         following, top = y.ravel(), np.clip(self.w["top"], -TOP, TOP)
@@ -406,20 +405,17 @@ class Attention:
         grads = {"top": share @ dz * often, "out": outer(s["g"] * wide, dz) * often}
         # The gradients of queries, keys, values and of the mixture stand side by side.
         d = np.empty((*x.shape, 5 * DIMS), np.float32)
-        dg = times(dz, (w["out"] * often).T.copy()).reshape(s["g"].shape)
-        dg *= (s["g"] > 0) * wide
-        d[:, :, 3 * DIMS :] = dg
+        dg = d[:, :, 3 * DIMS :]
+        np.multiply(times(dz, (w["out"] * often).T.copy()).reshape(dg.shape), (s["g"] > 0) * wide, out=dg)
         both = outer(h, dg)
         grads["mix"], grads["bias"] = both[:-1], both[-1]
-        # Weights ``a`` are not divided by their sums: the gradients of their products are.
-        dc = np.empty((*x.shape, DIMS + 1), np.float32)
-        np.divide(times(dg, w["mix"][DIMS:].T.copy()), s["all"], out=dc[:, :, :DIMS])
-        np.negative((dc[:, :, :DIMS] * h[:, :, DIMS:-1]) @ np.ones(DIMS, np.float32), out=dc[:, :, DIMS])
-        da = dc @ turned(s["v"])
+        dc = times(dg, w["mix"][DIMS:].T.copy())
+        da = dc @ turned(qkv[:, :, 2 * DIMS :])
+        da -= np.einsum("nld,nld->nl", dc, h[:, :, DIMS:-1])[:, :, None]
         da *= s["a"]
         np.matmul(da, qkv[:, :, DIMS : 2 * DIMS], out=d[:, :, :DIMS])
         np.matmul(da.transpose(0, 2, 1), qkv[:, :, :DIMS], out=d[:, :, DIMS : 2 * DIMS])
-        np.matmul(s["a"].transpose(0, 2, 1), dc[:, :, :DIMS], out=d[:, :, 2 * DIMS : 3 * DIMS])
+        np.matmul(s["a"].transpose(0, 2, 1), dc, out=d[:, :, 2 * DIMS : 3 * DIMS])
         dq, grads["k"], grads["v"] = np.split(outer(s["e"], d[:, :, : 3 * DIMS]), 3, axis=1)
         grads["q"] = dq * np.float32(DIMS**-0.5)
         de = times(d, np.vstack([self.projection().T, w["mix"][:DIMS].T]))
@@ -499,19 +495,12 @@ def spelled(
     return ids, np.cumsum(times)[np.cumsum(lengths + 1) - 1]
 
 
-class Numbers(dict):
-    """Numbers of keys from 1 on, in the order in which they come."""
-
-    def __missing__(self, key: int) -> int:
-        self[key] = number = len(self) + 1
-        return number
-
-
 class Book:
-    """Words, by their keys, with their ids and counts; word 0 is the end."""
+    """Words with their ids and counts, found by their keys; word 0 is the end."""
 
     def __init__(self, encoder, begins: np.ndarray):
-        self.encoder, self.begins, self.numbers = encoder, begins, Numbers()
+        self.encoder, self.begins = encoder, begins
+        self.keys, self.numbers = np.zeros(0, np.int64), np.zeros(0, np.int64)  # in the order of the keys
         self.ids, self.size, self.n = np.array([END], np.uint16), np.ones(1, np.int32), np.zeros(1, np.int64)
 
     def read(self, texts: pa.Array, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -521,8 +510,7 @@ class Book:
         size = last - first
         inside = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
         codes, keys = pd.factorize(keys_of(data[inside], np.cumsum(size) - size))
-        numbers = np.fromiter(map(self.numbers.__getitem__, keys.tolist()), np.int64, len(keys))
-        new = np.flatnonzero(numbers >= len(self.n))
+        numbers, new = self.found(keys)
         if len(new):
             where = np.empty(len(keys), np.int64)
             where[codes[::-1]] = np.arange(len(codes))[::-1]
@@ -534,6 +522,21 @@ class Book:
         ids = self.ids[np.repeat(begin[codes] - (ends - size), size) + np.arange(int(size.sum()))]
         return ids, np.diff(ends[np.cumsum(lengths + 1) - 1], prepend=0)
 
+    def found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words of distinct keys, and places of those that are new."""
+        # Searched in their order they are found faster.
+        turn = np.argsort(keys)
+        spot = np.searchsorted(self.keys, keys[turn])
+        new = np.append(self.keys, 0)[spot] != keys[turn]
+        new |= spot == len(self.keys)
+        numbers = np.append(self.numbers, 0)[spot]
+        numbers[new] = len(self.n) + np.arange(np.count_nonzero(new))
+        self.keys = np.insert(self.keys, spot[new], keys[turn[new]])
+        self.numbers = np.insert(self.numbers, spot[new], numbers[new])
+        out = np.empty(len(keys), np.int64)
+        out[turn] = numbers
+        return out, turn[new]
+
     def add(self, words: list[bytes]) -> None:
         flat = piece_ids(self.encoder, words)
         first = np.append(np.flatnonzero(self.begins[flat[:-1]]), len(flat) - 1)
@@ -584,7 +587,7 @@ def counted(docs: DataFrame, training: Column | None = None, vocabulary: Broadca
                 rows = packed(*book.read(some.column(1), learned))
                 yield batch_of(len(rows), doc_id=some.column(0), training=learned, ids=rows)
                 first = last
-                if len(book.numbers) > HELD:
+                if len(book.n) > HELD:
                     yield from flushed(book)
                     book = Book(encoder, begins)
         yield from flushed(book)
